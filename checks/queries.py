@@ -82,7 +82,7 @@ def settings_for(spark: SparkSession, d: str, run: str) -> Settings:
 def readable(table: DataFrame) -> DataFrame:
     """A training table with its indicator columns folded into one text of the names that are 1."""
     names = [c for c in table.columns if c.startswith(("cat_", "ing_"))]
-    on = F.array(*(F.when(F.col(c) == 1, F.lit(c)) for c in names))
+    on = F.array(*(F.when(fc.named(c) == 1, F.lit(c)) for c in names))
     present = F.array_join(F.array_sort(F.array_compact(on)), " ").alias("indicators")
     return rounded(table.select(*(c for c in table.columns if c not in names), present))
 

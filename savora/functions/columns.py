@@ -17,6 +17,11 @@ BIN_CENTRES = 15
 BIN_LOW, BIN_HIGH = -3.0, 3.0
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def tag_names(columns: Sequence[str]) -> list[str]:
     """Names of the tags a table carries, found by the ``pred_`` prefix."""
     return [c.removeprefix("pred_") for c in columns if c.startswith("pred_")]
@@ -27,9 +32,9 @@ def with_nulls_for_nan(df: DataFrame) -> DataFrame:
     floating = (T.FloatType, T.DoubleType)
     return df.select(
         *(
-            F.nullif(F.col(f.name), F.lit(float("nan")).cast(f.dataType)).alias(f.name)
+            F.nullif(named(f.name), F.lit(float("nan")).cast(f.dataType)).alias(f.name)
             if isinstance(f.dataType, floating)
-            else F.col(f.name)
+            else named(f.name)
             for f in df.schema
         )
     )

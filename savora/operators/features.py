@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from savora.functions.columns import flag, spaced_tokens, tokens
+from savora.functions.columns import flag, named, spaced_tokens, tokens
+from savora.plans.skew import spread
 from savora.settings import NUMERIC_FEATURES
 
 # Columns that are ids, targets or names, never model inputs.
@@ -23,12 +24,12 @@ def search_table(
 
     def typed(name: str) -> Column:
         if name.startswith("pred_"):
-            return flag(F.col(name)).alias(name)
+            return flag(named(name)).alias(name)
         if name == ingredients:
-            return spaced_tokens(F.col(name)).alias(name)
+            return spaced_tokens(named(name)).alias(name)
         if name == tags:
-            return tokens(F.col(name)).alias(name)
-        return F.col(name)
+            return tokens(named(name)).alias(name)
+        return named(name)
 
     return merged.select(*(typed(c) for c in merged.columns))
 
@@ -67,22 +68,22 @@ def scale(
     source = df if fit_on is None else fit_on
     parts: list[Column] = []
     for c in standard:
-        parts += [F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"dev_{c}")]
+        parts += [F.avg(named(c)).alias(f"mean_{c}"), F.stddev_pop(named(c)).alias(f"dev_{c}")]
     for c in minmax:
-        parts += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+        parts += [F.min(named(c)).alias(f"min_{c}"), F.max(named(c)).alias(f"max_{c}")]
     stats = source.agg(F.struct(*parts).alias("s")).scalar()
 
     def span(width: Column) -> Column:
         return F.when(width == 0, F.lit(1.0)).otherwise(width)
 
     def scaled(name: str) -> Column:
-        x = F.col(name).cast("double")
+        x = named(name).cast("double")
         if name in standard:
             return ((x - stats[f"mean_{name}"]) / span(stats[f"dev_{name}"])).alias(name)
         if name in minmax:
             low, high = stats[f"min_{name}"], stats[f"max_{name}"]
             return ((x - low) / span(high - low)).alias(name)
-        return F.col(name)
+        return named(name)
 
     return df.select(*(scaled(c) for c in df.columns))
 
@@ -93,7 +94,8 @@ def scale(
 def top_tokens(df: DataFrame, column: str, top_n: int = 100) -> DataFrame:
     """The ``top_n`` most frequent tokens (repeats within a row count); ties go to the smaller token."""
     return (
-        df.select(F.explode(tokens(F.col(column))).alias("token"))
+        spread(df.select(column))
+        .select(F.explode(tokens(F.col(column))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("n"))
         .orderBy(F.desc("n"), "token")
@@ -126,7 +128,7 @@ def with_indicators(
         return F.arrays_overlap("_tokens", F.array(*map(F.lit, group)))
 
     return parsed.select(
-        *(F.col(c) for c in df.columns),
+        *(named(c) for c in df.columns),
         *(present(group).cast("int").alias(name) for name, group in names.items()),
     )
 
@@ -187,11 +189,11 @@ def assemble(
     """Rows ``(item, name, meta, tag, target)`` with single-precision vectors."""
 
     def vector(columns: Sequence[str]) -> Column:
-        return F.array(*map(F.col, columns)).cast("array<float>")
+        return F.array(*map(named, columns)).cast("array<float>")
 
     return df.select(
         F.col(item),
-        F.col(name),
+        named(name),
         vector(groups.meta).alias("meta"),
         vector(groups.tag).alias("tag"),
         F.col("bayesian_rating").cast("float").alias("target"),
@@ -228,7 +230,7 @@ def feature_report(df: DataFrame, item: str = "recipe_id") -> DataFrame:
     columns = numeric_columns(df)
     parts: list[Column] = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = named(c).cast("double")
         parts.append(
             F.struct(
                 F.lit(c).alias("feature"),

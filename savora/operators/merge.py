@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from savora.functions.columns import normalised_id
+from savora.functions.columns import named, normalised_id
 
 log = logging.getLogger(__name__)
 LOW_OVERLAP = 100
@@ -24,9 +24,9 @@ def merge(items: DataFrame, features: DataFrame, on: str = "recipe_id") -> DataF
     def prepared(df: DataFrame, suffix: str) -> DataFrame:
         return df.select(
             *(
-                normalised_id(F.col(c)).alias(c)
+                normalised_id(named(c)).alias(c)
                 if c == on
-                else F.col(c).alias(c + suffix if c in shared else c)
+                else named(c).alias(c + suffix if c in shared else c)
                 for c in df.columns
             )
         )

@@ -1,7 +1,7 @@
-"""Exact cosine search: a bounded set of query vectors against all item vectors.
+"""Exact cosine search of query vectors among all item vectors.
 
-The queries are broadcast, so the items are read once and never shuffled. Each task keeps the best k
-per query over its partition; a ranking per query merges what the tasks kept.
+A bounded set of queries is broadcast, so the items are read once and never shuffled. Each task keeps
+the best k per query over its partition; a ranking per query merges what the tasks kept.
 """
 
 from __future__ import annotations
@@ -14,11 +14,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# Most query numbers (vectors x width) one pass may broadcast; more are handled in several passes.
+from savora.plans.skew import spread
+from savora.session import stage
+
+# Most query numbers (vectors x width) that are broadcast; with more, both sides are cut into blocks.
 QUERY_VALUES = 4_000_000
-# Most scores held at once inside a task.
-SCORE_CELLS = 4_000_000
+ITEMS_PER_BLOCK = 100_000
+# Scores computed at once inside a task: queries x items.
+QUERY_BLOCK = 2048
+ITEM_BLOCK = 1024
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -81,65 +87,121 @@ def top_k_cosine(
     else:
         queries = queries.withColumn("extra", F.lit(0))
 
-    n, width = queries.agg(F.count("*"), F.max(F.size("vector"))).first()
-    passes = max(1, ceil(n * (width or 1) / QUERY_VALUES))
-    found = None
-    for number in range(passes):
-        part = queries.where(F.pmod(F.xxhash64(query_id), F.lit(passes)) == number) if passes > 1 else queries
-        hits = _scan(part, items, k, query_id, item_id, item_vector, width or 0, places)
-        found = hits if found is None else found.unionByName(hits)
-    if exclude is not None:
-        found = found.join(exclude, [query_id, item_id], "left_anti")
-    return rank_per(found, query_id, item_id, "score", k)
-
-
-def _scan(queries, items, k, query_id, item_id, item_vector, width, places) -> DataFrame:
-    spark = items.sparkSession
-    rows = queries.toArrow()  # at most QUERY_VALUES numbers
-    ids = rows.column(query_id)
-    vectors = _unit(_matrix(rows.column("vector"), width)) if len(rows) else np.zeros((0, width))
-    limits = np.asarray(rows.column("extra").to_pylist(), dtype=np.int64) + k
-    shared = spark.sparkContext.broadcast((ids, vectors, limits))
-    item_type = items.schema[item_id].dataType
+    width = _width(items, item_vector)
+    items = items.select(item_id, item_vector).where(F.col(item_vector).isNotNull())
     schema = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),
-            T.StructField(item_id, item_type),
+            T.StructField(item_id, items.schema[item_id].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
+    most = max(1, QUERY_VALUES // max(width, 1))
+    rows = queries.limit(most + 1).toArrow()
+    if len(rows) <= most:
+        found = _scan(rows, items, k, width, places, schema)
+    else:
+        found = _multiply_blocks(queries, items, most, k, width, places, schema)
+    if exclude is not None:
+        found = found.join(exclude, [query_id, item_id], "left_anti")
+    return rank_per(found, query_id, item_id, "score", k)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, unit, limit = shared.value
-        if not len(unit):
+
+def _width(items: DataFrame, item_vector: str) -> int:
+    first = items.select(F.size(item_vector).alias("d")).where(F.col(item_vector).isNotNull()).first()
+    return first.d if first else 0
+
+
+class _Best:
+    """The best items per query among those seen so far.
+
+    Scores are computed for a block of queries and a block of items at a time. Once a query has its
+    items, only scores that reach the last of them are looked at.
+    """
+
+    def __init__(self, queries: pa.Table, k: int, width: int, places: int, names: list[str]):
+        self.ids = queries.column(0)
+        vectors = _matrix(queries.column(1), width) if len(queries) else np.zeros((0, width))
+        self.unit = _unit(vectors)
+        self.limit = queries.column(2).to_numpy().astype(np.int64) + k
+        self.floor = np.full(len(queries), -np.inf)
+        self.width, self.places, self.names = width, places, names
+        self.kept: dict[int, list[tuple]] = {}
+
+    def add(self, ids: np.ndarray, vectors) -> None:
+        if not len(ids) or not len(self.unit):
             return
-        best = None
+        ids = ids.astype(str) if ids.dtype == object else ids
+        matrix = _unit(_matrix(vectors, self.width))
+        slack = 10.0**-self.places
+        for low in range(0, len(self.unit), QUERY_BLOCK):
+            asked = self.unit[low : low + QUERY_BLOCK]
+            for start in range(0, len(ids), ITEM_BLOCK):
+                scores = asked @ matrix[start : start + ITEM_BLOCK].T
+                floor = self.floor[low : low + QUERY_BLOCK]
+                if np.isneginf(floor).any():
+                    bound = int(min(self.limit[low : low + QUERY_BLOCK].max(), scores.shape[1]))
+                    own = -np.partition(-scores, bound - 1, axis=1)[:, bound - 1]
+                    floor = np.maximum(floor, own)
+                q, i = np.nonzero(scores >= floor[:, None] - slack)
+                exact = np.round(scores[q, i], self.places) + 0.0
+                self.kept.setdefault(low, []).append((q + low, ids[start + i], exact))
+                self.cut(low)
+
+    def cut(self, low: int) -> None:
+        q, i, s = (np.concatenate(part) for part in zip(*self.kept[low]))
+        q, i, s = _keep_best(q, i, s, self.limit)
+        self.kept[low] = [(q, i, s)]
+        # Rows come ordered by query and falling score: a full query's last score is its floor.
+        found, first, n = np.unique(q, return_index=True, return_counts=True)
+        full = n >= self.limit[found]
+        self.floor[found[full]] = s[(first + n - 1)[full]]
+
+    def table(self) -> pa.Table:
+        if not self.kept:
+            return pa.table([self.ids.slice(0, 0), pa.array([]), pa.array([])], names=self.names)
+        q, i, s = (np.concatenate(part) for part in zip(*(rows for (rows,) in self.kept.values())))
+        return pa.table([self.ids.take(pa.array(q)), pa.array(i), pa.array(s)], names=self.names)
+
+
+def _scan(rows: pa.Table, items: DataFrame, k, width, places, schema) -> DataFrame:
+    """Few queries: broadcast them, read the items once, shuffle only what each task keeps."""
+    shared = items.sparkSession.sparkContext.broadcast(rows)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Best(shared.value, k, width, places, schema.names)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            names = batch.column(0).to_numpy(zero_copy_only=False)
-            matrix = _unit(_matrix(batch.column(1), width))
-            step = max(1, SCORE_CELLS // len(matrix))
-            for low in range(0, len(unit), step):
-                scores = np.round(unit[low : low + step] @ matrix.T, places) + 0.0
-                bound = int(min(limit[low : low + step].max(), len(matrix)))
-                floor = -np.partition(-scores, bound - 1, axis=1)[:, bound - 1 : bound]
-                q, i = np.nonzero(scores >= floor)
-                hit = names[i].astype(str) if names.dtype == object else names[i]
-                new = (q + low, hit, scores[q, i])
-                best = new if best is None else tuple(map(lambda a, b: np.concatenate([a, b]), best, new))
-            if len(best[0]) > 2 * SCORE_CELLS:
-                best = _keep_best(*best, limit)
-        if best is None:
-            return
-        q, i, s = _keep_best(*best, limit)
-        out = pa.table(
-            [query_ids.take(pa.array(q)).combine_chunks(), pa.array(i), pa.array(s)],
-            names=[query_id, item_id, "score"],
+            best.add(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1))
+        if best.kept:
+            yield from best.table().combine_chunks().to_batches(max_chunksize=10_000)
+
+    return spread(items).mapInArrow(search, schema)
+
+
+def _multiply_blocks(queries: DataFrame, items: DataFrame, most, k, width, places, schema) -> DataFrame:
+    """Too many queries to broadcast: cut both sides into blocks, one task per pair of blocks."""
+    query_id, item_id = schema.names[:2]
+    queries = stage(queries, "query-vectors")
+    q_blocks = ceil(2 * queries.count() / most)
+    i_blocks = max(1, ceil(items.count() / ITEMS_PER_BLOCK))
+
+    def blocks(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        numbers = F.sequence(F.lit(0), F.lit(n_other - 1)).cast("array<bigint>")
+        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(
+            other, F.explode(numbers)
         )
-        yield from out.to_batches(max_chunksize=10_000)
 
-    return items.select(item_id, item_vector).where(F.col(item_vector).isNotNull()).mapInArrow(search, schema)
+    left = blocks(queries, query_id, "_q", q_blocks, "_i", i_blocks).groupBy("_q", "_i")
+    right = blocks(items, item_id, "_i", i_blocks, "_q", q_blocks).groupBy("_q", "_i")
+
+    def search(asked: pa.Table, given: pa.Table) -> pa.Table:
+        best = _Best(asked, k, width, places, schema.names)
+        if len(given):
+            best.add(given.column(0).to_numpy(), given.column(1))
+        return best.table().cast(target)
+
+    target = to_arrow_schema(schema)
+    return left.cogroup(right).applyInArrow(search, schema)
 
 
 def session_vectors(
@@ -155,7 +217,7 @@ def session_vectors(
     One average per dimension, so the rows combine before the shuffle whatever a session's length.
     """
     if width is None:
-        width = items.select(F.size(item_vector)).first()[0]
+        width = _width(items, item_vector)
     seeds = sessions.select(session_id, item_id).join(items.select(item_id, item_vector), item_id)
     means = (F.avg(F.get(F.col(item_vector), F.lit(d)).cast("double")) for d in range(width))
     return seeds.groupBy(session_id).agg(F.array(*means).alias("vector"))

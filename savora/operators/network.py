@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from savora.functions.columns import BIN_CENTRES, BIN_HIGH, BIN_LOW
+from savora.plans.skew import spread
 
 # Layers of each head from input to output, the width of a numeric feature's learned
 # bins, of the hidden layer of the two-tower output, and the small number of the normalisations.
@@ -313,4 +314,4 @@ def score_corpus(
                 )
 
     wanted = features.select(item, name, "meta", "tag", F.col("target").cast("float").alias("target"))
-    return wanted.mapInArrow(score, schema)
+    return spread(wanted).mapInArrow(score, schema)

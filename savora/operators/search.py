@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from savora.functions.columns import tokens
 from savora.operators.nearest import rank_per
-from savora.plans.skew import bounded_broadcast
+from savora.plans.skew import bounded_broadcast, spread
 from savora.session import stage
 
 K1 = 1.2
@@ -43,7 +43,8 @@ def postings(
     Every document also gives one row with a null term, which carries its length even if no term of
     it is kept. With ``only(term)`` other terms are dropped before the shuffle.
     """
-    parsed = docs.select(F.col(doc_id).alias("doc_id"), terms(F.col(text)).alias("_terms"))
+    given = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")))
+    parsed = given.select("doc_id", terms(F.col("_text")).alias("_terms"))
     counted = parsed.where(F.size("_terms") > 0).select(
         "doc_id",
         F.size("_terms").cast("bigint").alias("dl"),
@@ -51,7 +52,7 @@ def postings(
     )
     if only is not None:
         wanted = only.select(F.col("term").alias("_wanted")).unionByName(
-            docs.sparkSession.createDataFrame([(None,)], "_wanted string")
+            docs.sparkSession.range(1).select(F.lit(None).cast("string").alias("_wanted"))
         )
         counted = counted.join(
             bounded_broadcast(wanted), counted["term"].eqNullSafe(F.col("_wanted")), "left_semi"

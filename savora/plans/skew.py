@@ -1,4 +1,4 @@
-"""Joins that survive hot keys, and broadcasts that check their size."""
+"""Joins that survive hot keys, broadcasts that check their size, and use of idle cores."""
 
 from __future__ import annotations
 
@@ -52,3 +52,12 @@ def salted_join(
         .drop("_slices")
     )
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if the input comes in fewer pieces than there are cores.
+
+    For heavy work per row on small files; an input with many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
