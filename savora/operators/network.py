@@ -142,10 +142,10 @@ def read_weights(table: DataFrame) -> dict[str, np.ndarray]:
 
 def _affine(weights, linear: str, norm: str, dtype) -> Layer:
     """A linear layer with its batch normalisation folded in (stored statistics, no dropout)."""
-    w = weights[f"{linear}.weight"].astype(np.float64)
-    gain = weights[f"{norm}.weight"] / np.sqrt(weights[f"{norm}.running_var"].astype(np.float64) + EPSILON)
+    gain = weights[f"{norm}.weight"] / np.sqrt(weights[f"{norm}.running_var"] + EPSILON)
     offset = (weights[f"{linear}.bias"] - weights[f"{norm}.running_mean"]) * gain + weights[f"{norm}.bias"]
-    matrix, offset = (w * gain[:, None]).T.astype(dtype), offset.astype(dtype)
+    matrix = (weights[f"{linear}.weight"] * gain[:, None]).T.astype(dtype)
+    offset = offset.astype(dtype)
     return lambda x: x @ matrix + offset
 
 
@@ -213,6 +213,8 @@ def forward_pass(
         if tuple(weights[name].shape) != shape:
             raise ValueError(f"{name} has shape {weights[name].shape}, not {shape}")
 
+    weights = {name: values.astype(np.float64) for name, values in weights.items()}
+
     def stack(name: str, n: int = 2) -> Layer:
         return _chain(*(_layer(weights, "full", f"{name}.{i}", dtype) for i in range(n)))
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot above 1/MAX_HOT of all rows, so there are never more than MAX_HOT hot keys and no
-# remaining key outweighs 1/MAX_HOT of the work.
+# remaining key outweighs 1/MAX_HOT of the work. Keys below MIN_ROWS are not worth cutting.
 MAX_HOT = 1000
+MIN_ROWS = 10_000
 
 # Above this many rows a side is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
@@ -18,15 +19,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, max_hot: int = MAX_HOT) -> DataFrame:
-    """Keys that hold more than ``1/max_hot`` of all rows, and into how many slices to cut each.
+def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
+    """Keys that hold more than their share of all rows, and into how many slices to cut each.
 
-    ``counts`` has one row per key with its number of rows. The result has at most ``max_hot`` rows.
+    ``counts`` has one row per key with its number of rows. The result has at most ``MAX_HOT`` rows.
     """
-    share = counts.agg((F.sum(rows) / F.lit(max_hot)).alias("share")).scalar()
+    share = counts.agg((F.sum(rows) / F.lit(MAX_HOT)).alias("share")).scalar()
     return (
-        counts.select(F.col(key), F.col(rows).alias("_rows"), share.alias("_share"))
-        .where(F.col("_rows") > F.greatest(F.col("_share"), F.lit(1.0)))
+        counts.select(
+            F.col(key), F.col(rows).alias("_rows"), F.greatest(share, F.lit(float(MIN_ROWS))).alias("_share")
+        )
+        .where(F.col("_rows") > F.col("_share"))
         .select(key, F.ceil(F.col("_rows") / F.col("_share")).cast("int").alias("_slices"))
     )
 
