@@ -522,6 +522,7 @@ SELECT user_id, count(*) AS n_reviews FROM reviews GROUP BY user_id HAVING count
 estimates AS (
   SELECT user_id, n.recipe_id, round(sum(similarity * dev) / sum(abs(similarity)), 6) + 0.0 AS score
   FROM neighbours n JOIN devs d ON d.recipe_id = n.neighbour
+  WHERE user_id IN (SELECT user_id FROM reviews GROUP BY user_id HAVING count(*) >= 5)
   GROUP BY user_id, n.recipe_id HAVING sum(abs(similarity)) > 0),
 unseen AS (SELECT * FROM estimates e WHERE NOT EXISTS (
   SELECT 1 FROM pairs p WHERE p.user_id = e.user_id AND p.recipe_id = e.recipe_id))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savora.functions.columns import ablate
+from savora.functions.columns import ablate, cosine
 from savora.operators import features as ft
 from savora.operators.fit import RatingModel, fit_rating_model
 from savora.operators.merge import merge, validate_merge
@@ -24,14 +24,12 @@ from savora.operators.search import (
 )
 from savora.operators.split import split_exact
 from savora.operators.taste import affinity_scores, affinity_vectors, net_sentiment, tag_weights
-from savora.plans.skew import bounded_broadcast
-from savora.session import stage
+from savora.plans.skew import bounded_broadcast, keyed_join
+from savora.session import scratch, stage
 from savora.settings import Settings
 from savora.sources.tables import (
     is_written,
     load_inputs,
-    read_table,
-    require_rows,
     write_mapping,
     write_metrics,
     write_table,
@@ -46,14 +44,15 @@ def preprocess(spark: SparkSession, settings: Settings, overwrite: bool = False)
     if not overwrite and is_written(spark, settings.processed_recipes_path):
         return spark.read.parquet(settings.processed_recipes_path)
     items, _, labels = load_inputs(spark, settings)
-    level = stage(recipe_level(labels), "recipe-level")
-    validate_merge(items, level)
-    # Read by the search table, the scaling statistics, both vocabularies and the training table.
-    merged = stage(merge(items, level), "merged")
-    write_table(ft.search_table(merged), settings.recipes_path)
-    training = training_table(merged, settings.top_n)
-    write_mapping(ft.column_mapping(training), settings.column_mapping_path)
-    write_table(training, settings.processed_recipes_path)
+    with scratch(spark):
+        level = stage(recipe_level(labels), "recipe-level")
+        validate_merge(items, level)
+        # Read by the search table, the scaling statistics, both vocabularies and the training table.
+        merged = stage(merge(items, level), "merged")
+        write_table(ft.search_table(merged), settings.recipes_path)
+        training = training_table(merged, settings.top_n)
+        write_mapping(ft.column_mapping(training), settings.column_mapping_path)
+        write_table(training, settings.processed_recipes_path)
     return spark.read.parquet(settings.processed_recipes_path)
 
 
@@ -194,37 +193,32 @@ def search(
         hits = bm25_top(index, query_terms(queries), pool).select(
             "query_id", F.col("doc_id").alias("recipe_id"), "lexical"
         )
-    hits = stage(hits, "hits")  # at most ``pool`` rows per query
-    found = bounded_broadcast(hits)
-    scored = _item_signals(items, tags, settings.polarity).join(found, "recipe_id")
-    uses_vectors = mode == "hybrid"
-    if uses_vectors:
-        scored = _with_semantic(scored, queries, items, hits)
+    # At most ``pool`` rows per query.
+    hits = stage(hits, "hits")
+    scored = keyed_join(hits, _item_signals(items, tags, settings.polarity), "recipe_id", ["query_id"])
+    if mode == "hybrid":
+        scored = scored.join(_semantic_scores(hits, queries, items), ["query_id", "recipe_id"])
     if mode in ("hybrid", "ablation_no_sem"):
-        scored = _with_affinity(scored, queries, items, profiles)
+        scored = scored.join(_affinity(hits, queries, items, profiles), ["query_id", "recipe_id"])
     scored = stage(scored, "signals")
     return rank_by_mode(scored, mode, top_k).select("query_id", "rank", "recipe_id", "name", "score")
 
 
-def _with_semantic(scored, queries, items, hits) -> DataFrame:
-    from savora.functions.columns import cosine
-
-    pairs = (
-        items.select("recipe_id", "embedding")
-        .join(bounded_broadcast(hits.select("query_id", "recipe_id")), "recipe_id")
-        .join(bounded_broadcast(queries.select("query_id", "vector"), 20_000), "query_id")
-    )
-    semantic = pairs.select(
+def _semantic_scores(hits: DataFrame, queries: DataFrame, items: DataFrame) -> DataFrame:
+    pairs = hits.select("query_id", "recipe_id").join(queries.select("query_id", "vector"), "query_id")
+    both = keyed_join(pairs, items.select("recipe_id", "embedding"), "recipe_id", ["query_id"])
+    return both.select(
         "query_id", "recipe_id", cosine(F.col("vector"), F.col("embedding")).alias("semantic")
     )
-    return scored.join(semantic, ["query_id", "recipe_id"])
 
 
-def _with_affinity(scored, queries, items, profiles) -> DataFrame:
+def _affinity(hits, queries, items, profiles) -> DataFrame:
+    pairs = hits.select("query_id", "recipe_id")
     if profiles is None or "user_id" not in queries.columns:
-        return scored.withColumn("affinity", F.lit(0.0))
-    named = scored.join(queries.select("query_id", "user_id"), "query_id")
-    return affinity_scores(named, profiles, items).withColumnRenamed("affinity_score", "affinity")
+        return pairs.withColumn("affinity", F.lit(0.0))
+    named = pairs.join(queries.select("query_id", "user_id"), "query_id")
+    scores = affinity_scores(named, profiles, items)
+    return scores.select("query_id", "recipe_id", F.col("affinity_score").alias("affinity"))
 
 
 def recommend(
@@ -253,10 +247,11 @@ def recommend(
     near = session_neighbours(seeds, items, settings.n_neighbors, session_id="user_id")
     near = stage(near.select("user_id", "recipe_id", F.col("score").alias("semantic")), "near")
     signals = _item_signals(items, tags, settings.polarity)
-    warm = affinity_scores(
-        signals.join(bounded_broadcast(near), "recipe_id"), profiles, items
-    ).withColumnRenamed("affinity_score", "affinity")
-    warm = stage(warm.withColumn("lexical", F.lit(0.0)), "warm")
+    warm = stage(affinity_scores(near, profiles, items), "warm")
+    warm = keyed_join(warm, signals, "recipe_id", ["user_id"]).select(
+        "*", F.col("affinity_score").alias("affinity"), F.lit(0.0).alias("lexical")
+    )
+    warm = stage(warm, "signals")
     ranked = rank_by_mode(warm, "hybrid", top_k, query_id="user_id")
     columns = ["user_id", "rank", "recipe_id", "name", "score"]
 

@@ -57,6 +57,18 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def keyed_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """Inner join of ``facts`` with a table of one row per ``key``.
+
+    Few facts are broadcast, so the table is not shuffled; with more, hot keys are cut into slices.
+    ``facts`` is read several times and should be stored or staged.
+    """
+    if facts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return dimension.join(F.broadcast(facts), key)
+    hot = hot_keys(facts.groupBy(key).agg(F.count("*").alias("_n")), key, "_n")
+    return salted_join(facts, dimension, key, hot, spread_by)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores if the input comes in fewer pieces than there are cores.
 

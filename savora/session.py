@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`stage` wrote inside the block once it ends.
+
+    For jobs that store their result: no lazy table may outlive the block.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -45,5 +65,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     consumer reads only its columns, and a lost executor costs no recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
