@@ -125,36 +125,117 @@ VECTORS = f"""cells AS (
   FROM scaled s, numbered)"""
 ASSEMBLED = f"{FULL}, {SCALED}, {VOCABS}, {FEATURE_LIST}, {VECTORS}"
 
-# One hidden width of 8 with weights by rule, for the shallow head.
-WEIGHT = "(((o * 31 + i * 17) % 13 - 6) / 16.0::DOUBLE)"
+# The scoring network with a hidden width of 8 and weights by rule.
 SCALE = "sqrt(1.0 + 1e-5)"
 
 
-def dense(name: str, source: str, width: int = 8) -> str:
-    return f"""{name} AS (
-  SELECT recipe_id, o AS i, greatest(0.0, sum(x * {WEIGHT}) / {SCALE}) AS x
-  FROM {source}, range({width}) r(o) GROUP BY recipe_id, o)"""
+def linear(source: str, width: int, n_in: int) -> str:
+    """Rows (recipe_id, i, x) through a linear layer without bias."""
+    weight = f"(((o * 31 + i * 17) % 13 - 6) / {16.0 if n_in <= 16 else 64.0}::DOUBLE)"
+    return f"SELECT recipe_id, o AS i, sum(x * {weight}) AS x FROM {source}, range({width}) r(o) GROUP BY recipe_id, o"
+
+
+def dense(name: str, source: str, width: int, n_in: int) -> str:
+    return f"{name} AS (SELECT recipe_id, i, greatest(0.0, x / {SCALE}) AS x FROM ({linear(source, width, n_in)}))"
+
+
+def block(name: str, source: str, n: int, middle: int) -> str:
+    """Two layers whose result is added to their input."""
+    return f"""{dense(name + "_a", source, middle, n)},
+{name} AS (SELECT recipe_id, i, greatest(0.0, y.x / {SCALE} + s.x) AS x
+  FROM ({linear(name + "_a", n, middle)}) y JOIN {source} s USING (recipe_id, i))"""
+
 
+def norm(name: str, source: str) -> str:
+    return f"""{name} AS (
+  SELECT recipe_id, i, (x - m) / sqrt(v + 1e-5) AS x
+  FROM {source} JOIN (SELECT recipe_id, avg(x) AS m, var_pop(x) AS v FROM {source} GROUP BY recipe_id) USING (recipe_id))"""
+
+
+# The layers of each head.
+HEAD_LAYERS = {
+    "shallow": ["full"],
+    "deep": ["full"] * 10,
+    "residual": ["full"] + ["plain"] * 2 + ["full"],
+    "residual_v2": ["full"] + ["wide"] * 6 + ["full"],
+    "residual_v3": ["full"] + ["wide"] * 6 + ["full"],
+    "two_tower": ["full"] + ["wide"] * 6 + ["full"],
+}
+CATS = "(SELECT count(*) FROM cats) + (SELECT count(*) FROM ings)"
 
-SHALLOW = f"""meta_in AS (
+NETWORK_INPUT = f"""meta_in AS (
   SELECT recipe_id, idx AS i, CAST(CAST(value AS FLOAT) AS DOUBLE) AS x FROM cells
   WHERE feature NOT LIKE 'pred%' AND feature NOT LIKE 'intensity%'),
 tag_in AS (
-  SELECT recipe_id, idx - (SELECT count(*) FROM numbered WHERE feature NOT LIKE 'pred%' AND feature NOT LIKE 'intensity%') AS i,
-    CAST(CAST(value AS FLOAT) AS DOUBLE) AS x FROM cells
-  WHERE feature LIKE 'pred%' OR feature LIKE 'intensity%'),
-{dense("meta_1", "meta_in")}, {dense("meta_2", "meta_1")}, {dense("tag_1", "tag_in")}, {dense("tag_2", "tag_1")},
-fused AS (SELECT * FROM meta_2 UNION ALL SELECT recipe_id, i + 8, x FROM tag_2),
-{dense("embedding", "fused")},
-bundle AS (
-  SELECT recipe_id, 1 + 4 / (1 + exp(-sum(x * ((i * 17) % 13 - 6) / 16.0::DOUBLE))) AS prediction,
-    CAST(count(*) AS INTEGER) AS width, sum(x) AS total
-  FROM embedding GROUP BY recipe_id)"""
-
-BUNDLE = f"""WITH {ASSEMBLED}, {SHALLOW}
-SELECT recipe_id, name AS recipe_name, round(CAST(CAST(bayesian_rating AS FLOAT) AS DOUBLE), 4) AS target,
+  SELECT recipe_id, idx - 2 - ({CATS}) AS i, CAST(CAST(value AS FLOAT) AS DOUBLE) AS x FROM cells
+  WHERE feature LIKE 'pred%' OR feature LIKE 'intensity%')"""
+
+
+def network(head: str, meta_width: int) -> str:
+    """CTEs from the vectors to ``<head>_bundle (recipe_id, prediction, width, total)``."""
+    p = f"{head}_"
+    parts = [dense(p + "t1", "tag_in", 8, 6), dense(p + "t2", p + "t1", 8, 8)]
+    if head == "two_tower":
+        parts += [dense(p + "m1", "meta_in", 4, meta_width), dense(p + "m2", p + "m1", 2, 4)]
+        source, n = p + "t2", 8
+    elif head == "residual_v3":
+        parts += [
+            f"""{p}bins AS (
+  SELECT recipe_id, i * 16 + m AS i,
+    sum(greatest(0, 1 - abs(x - (-3 + n * 6.0::DOUBLE / 14)) / (6.0::DOUBLE / 14)) * ((i * 7 + n * 31 + m * 17) % 13 - 6) / 16.0::DOUBLE) AS x
+  FROM meta_in, range(15) a(n), range(16) b(m) WHERE i < 2 GROUP BY recipe_id, i, m),
+{p}classes AS (SELECT recipe_id, i - 2 AS i, x FROM meta_in WHERE i >= 2)""",
+            dense(p + "m1", p + "bins", 4, 32),
+            dense(p + "c1", p + "classes", 4, meta_width - 2),
+            f"{p}m2 AS (SELECT * FROM {p}m1 UNION ALL SELECT recipe_id, i + 4, x FROM {p}c1)",
+        ]
+    else:
+        parts += [dense(p + "m1", "meta_in", 8, meta_width), dense(p + "m2", p + "m1", 8, 8)]
+    if head != "two_tower":
+        parts.append(f"{p}fused AS (SELECT * FROM {p}m2 UNION ALL SELECT recipe_id, i + 8, x FROM {p}t2)")
+        source, n = p + "fused", 16
+    kinds = HEAD_LAYERS[head]
+    for number, kind in enumerate(kinds):
+        name = f"{p}h{number}"
+        if kind == "full":
+            parts.append(dense(name, source, 8 if number == len(kinds) - 1 else n, n))
+        else:
+            parts.append(block(name, source, n, n if kind == "plain" else 2 * n))
+        source = name
+    if head == "two_tower":
+        parts += [
+            norm(p + "mn", p + "m2"),
+            norm(p + "tn", source),
+            f"{p}emb AS (SELECT * FROM {p}mn UNION ALL SELECT recipe_id, i + 2, x FROM {p}tn)",
+            f"{p}hidden AS (SELECT recipe_id, i, greatest(0.0, x) AS x FROM ({linear(p + 'emb', 64, 10)}))",
+        ]
+        source, output = p + "emb", linear(p + "hidden", 1, 64)
+    else:
+        output = linear(source, 1, 8)
+    parts.append(f"""{p}bundle AS (
+  SELECT recipe_id, 1 + 4 / (1 + exp(-raw)) AS prediction, width, total
+  FROM (SELECT recipe_id, x AS raw FROM ({output}))
+    JOIN (SELECT recipe_id, CAST(count(*) AS INTEGER) AS width, sum(x) AS total FROM {source} GROUP BY recipe_id)
+    USING (recipe_id))""")
+    # Each step once: the later ones read it several times.
+    return ",\n".join(parts).replace(" AS (", " AS MATERIALIZED (")
+
+
+META_WIDTH = 49  # 2 numbers and the test tables' vocabulary: only whether it is above 16 matters
+SHALLOW = f"{NETWORK_INPUT}, {network('shallow', META_WIDTH)}"
+
+
+def bundle(head: str) -> str:
+    return f"""SELECT recipe_id, name AS recipe_name, round(CAST(CAST(bayesian_rating AS FLOAT) AS DOUBLE), 4) AS target,
   {clean("prediction")}, width, round(total, 4) + 0.0 AS total
-FROM bundle JOIN scaled USING (recipe_id)"""
+FROM {head}_bundle JOIN scaled USING (recipe_id)"""
+
+
+BUNDLE = f"WITH {ASSEMBLED}, {SHALLOW}\n{bundle('shallow')}"
+OTHER_HEADS = [h for h in HEAD_LAYERS if h != "shallow"]
+HEADS = f"WITH {ASSEMBLED}, {NETWORK_INPUT}, {', '.join(network(h, META_WIDTH) for h in OTHER_HEADS)}\n" + (
+    " UNION ALL ".join(f"SELECT '{h}' AS head, * FROM ({bundle(h)})" for h in OTHER_HEADS)
+)
 
 # --- retrieval -----------------------------------------------------------------------------------
 
@@ -460,10 +541,11 @@ SELECT round(avg(e * e), 6) AS mse, round(avg(CASE WHEN abs(e) <= 1 THEN e * e /
     GROUP BY batch))""",
     "a14_output_profile": f"""WITH {ASSEMBLED}, {SHALLOW}
 SELECT round(min(prediction), 6) AS min_prediction, round(max(prediction), 6) AS max_prediction,
-  count(*) AS rows, max(width) AS width FROM bundle""",
+  count(*) AS rows, max(width) AS width FROM shallow_bundle""",
     "a15_split_sizes": f"WITH {SPLIT} SELECT split, count(*) AS n FROM splits GROUP BY split",
     "x1_split": f"WITH {SPLIT} SELECT recipe_id, split FROM splits",
     "m1_score_corpus": BUNDLE,
+    "m1_heads": HEADS,
     "q1_preprocess": TRAINING,
     "q3_score": f"""WITH {FULL}
 SELECT recipe_id, name AS recipe_name, round(CAST(CAST(bayesian_rating AS FLOAT) AS DOUBLE), 4) AS target,

@@ -405,23 +405,29 @@ def formula_weights(shapes) -> dict:
     import numpy as np
 
     weights = {}
-    for number, (name, shape) in enumerate(shapes.items()):
+    for name, shape in shapes.items():
         if name.endswith(("running_mean", ".bias")):
             values = np.zeros(shape)
         elif len(shape) == 1:
             values = np.ones(shape)
+        elif len(shape) == 3:
+            f, n, m = np.indices(shape)
+            values = ((f * 7 + n * 31 + m * 17) % 13 - 6) / 16.0
         else:
             o, i = np.indices(shape)
-            values = ((o * 31 + i * 17) % 13 - 6) / 16.0
+            values = ((o * 31 + i * 17) % 13 - 6) / (16.0 if shape[1] <= 16 else 64.0)
         weights[name] = values.astype(np.float32)
     return weights
 
 
 def scored(spark, d, head) -> DataFrame:
     rows, groups = rows_of(spark, d)
+    return scored_rows(spark, rows, groups, head)
+
+
+def scored_rows(spark, rows, groups, head) -> DataFrame:
     widths = (len(groups.numeric), len(groups.categorical), len(groups.tag))
-    shapes = nw.parameter_shapes(head, *widths, HEAD_WIDTH)
-    weights = formula_weights(shapes) if head == "shallow" else nw.seeded_weights(shapes, SEED)
+    weights = formula_weights(nw.parameter_shapes(head, *widths, HEAD_WIDTH))
     table = nw.read_weights(nw.weights_table(spark, weights))
     return nw.score_corpus(rows, table, *widths, head=head, hidden=HEAD_WIDTH, double=True)
 
@@ -442,15 +448,13 @@ def m1_score_corpus(spark, d):
 
 
 def m1_heads(spark, d):
-    heads = [h for h in nw.HEADS if h != "shallow"]
+    """All other heads over the whole corpus."""
+    rows, groups = rows_of(spark, d)
+    rows = stage(rows, "features")
     parts = (
-        scored(spark, d, h).agg(
-            F.count("*").alias("n"),
-            F.min("prediction").alias("lowest"),
-            F.max("prediction").alias("highest"),
-            F.max(F.size("embedding")).alias("width"),
-        ).select(F.lit(h).alias("head"), "*")
-        for h in heads
+        bundle_sums(scored_rows(spark, rows, groups, h)).select(F.lit(h).alias("head"), "*")
+        for h in nw.HEADS
+        if h != "shallow"
     )
     return reduce(DataFrame.unionByName, parts)
 
@@ -475,7 +479,7 @@ def q1_preprocess(spark, d):
 
 def q2_train(spark, d):
     run = jobs.train(spark, settings_for(spark, d, "q2"), skip_scoring=True, report=True)
-    return rounded(run.metrics)
+    return rounded(run.metrics.drop("reg_param", "val_loss"))
 
 
 def q3_score(spark, d):

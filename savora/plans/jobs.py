@@ -90,10 +90,13 @@ def train(
         parts.where(F.col("split") == s) for s in ("train", "val", "test")
     )
     model = fit_rating_model(train_rows, val_rows, settings.reg_params, settings.loss)
+    tried = model.history.orderBy("reg_param").collect()  # one row per setting
     metrics = evaluate(model.predict(test_rows)).select(
         F.lit("linear_logit").alias("model_type"),
         F.lit(ablation).alias("ablation_type"),
         F.lit(settings.loss).alias("loss_type"),
+        F.array(*(F.lit(r.reg_param) for r in tried)).alias("reg_param"),
+        F.array(*(F.lit(r.validation_loss) for r in tried)).alias("val_loss"),
         F.col("mse").alias("test_mse"),
         F.col("rmse").alias("test_rmse"),
         F.col("mae").alias("test_mae"),

@@ -84,7 +84,7 @@ def test_train_and_score(spark, settings):
     stored = spark.read.json(settings.results_path).first()
     assert stored.test_rmse == pytest.approx(stored.test_mse**0.5)
     assert 0 < stored.test_mse < 1, "better than a wild guess"
-    assert run.report.count() > 10
+    assert run.report.count() > 10 and len(stored.val_loss) == 3
     with pytest.raises(FileNotFoundError):
         jobs.score(spark, settings)
     table = jobs.preprocess(spark, settings)
@@ -97,6 +97,22 @@ def test_train_and_score(spark, settings):
     assert 1 <= row.min_prediction <= row.max_prediction <= 5 and (row["rows"], row.width) == (N_ITEMS, 8)
 
 
+def test_regression_equals_least_squares(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4))
+    y = np.clip(3 + x @ [0.4, -0.3, 0.2, 0.0] + 0.1 * rng.normal(size=300), 1.2, 4.8)
+    rows = [([float(a), float(b)], [float(c), float(d)], float(t)) for (a, b, c, d), t in zip(x, y)]
+    df = spark.createDataFrame(rows, "meta array<double>, tag array<double>, target double")
+    model = fit.fit_rating_model(df, df, (0.0, 5.0))
+    assert [r.reg_param for r in model.history.where("chosen").collect()] == [0.0]
+    design = np.c_[x, np.ones(300)]
+    share = (y - 1) / 4
+    coefficients, *_ = np.linalg.lstsq(design, np.log(share / (1 - share)), rcond=None)
+    expected = 1 + 4 / (1 + np.exp(-design @ coefficients))
+    got = {tuple(r.meta): r.prediction for r in model.predict(df).collect()}
+    assert [got[tuple(r[0])] for r in rows] == pytest.approx(list(expected), abs=1e-4)
+
+
 def test_item_vectors(spark, settings):
     table = jobs.preprocess(spark, settings)
     rows = ft.assemble(table, ft.feature_groups(table.columns))
