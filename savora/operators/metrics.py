@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from savora.functions.losses import LOSSES, loss
 from savora.operators.split import rank_key
 from savora.plans.order_stats import run_starts
+from savora.session import stage
 
 
 def losses(df: DataFrame, prediction: str = "prediction", target: str = "target") -> DataFrame:
@@ -48,7 +49,7 @@ def evaluate_batched(
         .groupBy("key", "id", "error")
         .agg(F.count("*").alias("n"))
     )
-    placed = run_starts(runs, "key", ["key", "id", "error"], "n")
+    placed = run_starts(stage(runs, "error-runs"), "key", ["key", "id", "error"], "n")
     size = F.lit(batch_size).cast("bigint")
     first = F.expr(f"start div {batch_size}")
     last = F.expr(f"(start + n - 1) div {batch_size}")

@@ -20,6 +20,8 @@ DAY_MICROS = 86_400_000_000
 def tag_weights(labels: DataFrame) -> DataFrame:
     """Per tag: prevalence over the reviews and ``idf = ln(1/prevalence)``, 0 for an unseen tag."""
     tags = tag_names(labels.columns)
+    if not tags:
+        return labels.sparkSession.createDataFrame([], "tag string, prevalence double, idf double")
     shares = labels.agg(
         F.array(
             *(
