@@ -44,7 +44,8 @@ def fit_rating_model(
 ) -> RatingModel:
     """Linear regression on the logit of the rating; the validation loss picks the regularisation.
 
-    Spark sums gradients in the executors; the driver holds one coefficient per feature.
+    Up to 4096 features Spark sums the normal equations in one pass over the rows; with more, it sums
+    gradients per iteration. The driver never holds more than a square of the feature number.
     """
     prepared = with_vector(train).select(
         "features", rating_logit(F.col("target").cast("double")).alias("label")
@@ -52,7 +53,7 @@ def fit_rating_model(
     held_out = with_vector(validation)
     tried = []
     for reg in reg_params:
-        model = LinearRegression(regParam=reg, maxIter=max_iter, solver="l-bfgs").fit(prepared)
+        model = LinearRegression(regParam=reg, maxIter=max_iter, solver="auto").fit(prepared)
         scored = model.transform(held_out).withColumn("prediction", bounded_rating(F.col("prediction")))
         error = F.col("prediction") - F.col("target").cast("double")
         tried.append((reg, scored.agg(loss(loss_name, error)).first()[0], model))
