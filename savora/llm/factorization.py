@@ -26,6 +26,9 @@ KIND_OF = np.zeros((256, len(KINDS)), np.int64)
 for _k, _members in enumerate(KINDS.values()):
     KIND_OF[list(_members), _k] = 1
 BINS = 32  # slots of one statistic
+# Deviations between the shares of two classes from which a word is an input; of a hundred thousand words that
+# mean nothing a few are that far apart.
+TOLD_APART = 3.5
 
 
 @dataclass(frozen=True)
@@ -169,7 +172,7 @@ def with_score(
 
 def fit(
     docs: DataFrame, labels: DataFrame, design: Design, *, id_col: str = "doc_id", text_col: str = "text",
-    length_col: str | None = "n_chars", label_col: str = "label", rows_per_class: int = 2000,
+    length_col: str | None = "n_chars", label_col: str = "label", rows_per_class: int = 3000,
     max_inputs: int = 4096, factors: int = 8, epochs: int = 30, seed: int = 1,
 ) -> Machine:
     """Learn from at most ``rows_per_class`` labelled documents of each class, chosen by the hash of their id.
@@ -227,9 +230,9 @@ def _train(design, at, slots, y, max_inputs, factors, epochs, seed) -> Machine:
     apart = np.abs(p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / positive.sum() + 1 / (n - positive.sum())))
     apart[one + zero < 3] = 0
     told = np.argsort(-apart, kind="stable")[: max_inputs // 2]
-    frequent = np.argsort(-(one + zero), kind="stable")[: max_inputs // 4]
+    frequent = np.argsort(-(one + zero), kind="stable")[: max_inputs // 32]
     statistics = np.flatnonzero((one + zero)[design.word_slots :]) + design.word_slots
-    kept = np.unique(np.concatenate((told[apart[told] > 2], frequent[both[frequent] > 0], statistics)))
+    kept = np.unique(np.concatenate((told[apart[told] > TOLD_APART], frequent[both[frequent] > 0], statistics)))
     index = np.full(design.slots, -1, np.int64)
     index[kept] = np.arange(len(kept))
     use = index[slots] >= 0

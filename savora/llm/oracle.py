@@ -47,7 +47,7 @@ _TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enume
 
 
 def _bigrams(words: str) -> str:
-    pairs = f"list_transform(range(1, len({words})), i -> {words}[i] || ' ' || {words}[i + 1])"
+    pairs = f"list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1])"
     return f"list_distinct(CASE WHEN len({words}) = 1 THEN {words} ELSE {pairs} END)"
 
 
