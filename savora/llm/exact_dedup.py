@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from savora.llm.text import prepare
 from savora.session import shared_dir, stage
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Log changes instead of copying the files of each state, and take no disk space before it is needed.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Below this many bytes the digests to check are broadcast instead of shuffling every text.
 BROADCAST_BYTES = 32 << 20
 DIGEST_BYTES = 100  # of one digest in a broadcast table, with its overhead
@@ -61,8 +66,9 @@ def seen(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> DataFrame:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -73,7 +79,8 @@ def seen(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> DataFrame:
         )
         query.awaitTermination()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     schema = f"digest string, n long, best {state.schema['best'].dataType.simpleString()}, batch long"
     changes = spark.read.schema(schema).parquet(sink)
     if changes.select("batch").distinct().count() == 1:
