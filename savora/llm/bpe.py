@@ -16,17 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from savora.llm.fragments import fragment_ids
+from savora.llm.fragments import byte_ids, byte_of_char
 from savora.llm.text import WHITE, lists, map_batches, texts
 
 
-def byte_of_char() -> dict[str, int]:
-    """Byte-level vocabularies write bytes as characters: printable ones as they are, the rest from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = sorted(set(range(256)) - set(plain))
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def _byte_set(members) -> np.ndarray:
     flags = np.zeros(256, bool)
     flags[list(members)] = True
@@ -93,7 +86,7 @@ def encode_texts(rows: list[str], path: str) -> list[np.ndarray]:
     joined = b"".join(raw)
     cuts = np.unique(np.concatenate(([0], vocabulary_of(path).boundaries(joined), ends)))
     at = cuts.tolist()
-    ids = fragment_ids(path, "<i4")([joined[a:b] for a, b in zip(at, at[1:])])
+    ids = byte_ids(path, "<i4")([joined[a:b] for a, b in zip(at, at[1:])])
     first = np.searchsorted(cuts, np.concatenate(([0], ends))).tolist()
     return [np.frombuffer(b"".join(ids[a:b]), "<i4") for a, b in zip(first, first[1:])]
 

@@ -3,48 +3,110 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
+# Letters of Latin-1 (they have no other composed form), digits, and visible ASCII characters but apostrophes.
+LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!-&(-/:-@\[-`{-~"
+AT_ONCE = 10_000  # fragments handed to the library in one call, as its results are large
+
+
+def byte_of_char() -> dict[str, int]:
+    """Byte-level vocabularies write bytes as characters: printable ones as they are, the rest from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = sorted(set(range(256)) - set(plain))
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
 
 class FragmentIds:
     """Ids of fragments as the tokenizers library gives them, packed as numbers of ``kind``.
 
-    Fragments that were seen before are looked up; the new ones of a call are encoded in one batch. Everything
-    is forgotten once ``limit`` fragments are held; long fragments are never held.
+    Fragments that were seen before are looked up. A new one that is nothing but ``pieces``, between which the
+    tokenizer cuts in any case, is put together from theirs; what is new then is encoded, many at once.
+    Everything is forgotten once ``limit`` fragments are held; long ones are never held.
     """
 
-    def __init__(self, path: str, kind: str, limit: int = 1_000_000, longest: int = 64):
+    def __init__(self, path: str, kind: str, pieces: str, fold: bool, limit: int = 800_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.char = {b: c for c, b in byte_of_char().items()}
+        self.pieces, self.fold = re.compile(pieces), fold
         self.kind, self.limit, self.longest = kind, limit, longest
         self.known: dict[bytes, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     def __call__(self, fragments: list[bytes]) -> list[bytes]:
         found = list(map(self.known.get, fragments))
-        new = {f for f, ids in zip(fragments, found, strict=True) if ids is None}
-        if not new:
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if not missing:
             return found
-        fresh = self._encoded(list(new))
+        fresh = self._composed({fragments[i] for i in missing})
         if len(self.known) + len(fresh) > self.limit:
             self.known.clear()
         self.known.update((f, ids) for f, ids in fresh.items() if len(f) <= self.longest)
-        return [fresh[f] if ids is None else ids for f, ids in zip(fragments, found, strict=True)]
+        for i in missing:
+            found[i] = fresh[fragments[i]]
+        return found
+
+    def _composed(self, fragments: set[bytes]) -> dict[bytes, bytes]:
+        parts: dict[bytes, list[str]] = {}
+        whole: list[bytes] = []
+        findall, added, fold = self.pieces.findall, self.added, self.fold
+        for f in fragments:
+            text = f.decode()
+            cut = findall(text)
+            if "".join(cut) != text or any(a in text for a in added):
+                whole.append(f)
+            else:
+                parts[f] = [p.lower() for p in cut] if fold else cut
+        if len(self.known_pieces) > self.limit:
+            self.known_pieces.clear()
+        known = self.known_pieces
+        new = {p for cut in parts.values() for p in cut if p not in known}
+        known.update(self._merged(new))
+        made = {f: b"".join([known[p] for p in cut]) for f, cut in parts.items()}
+        for p in new:
+            if len(p) > self.longest:
+                del known[p]
+        made.update(self._encoded(whole))
+        return made
+
+    def _merged(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids from the library's merges alone; pieces need no normalising and are cut no further."""
+        char, tokenize = self.char, self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize("".join([char[b] for b in p.encode()]))] for p in pieces]
+        return dict(zip(pieces, self._packed(ids), strict=True))
 
     def _encoded(self, fragments: list[bytes]) -> dict[bytes, bytes]:
-        made = self.tokenizer.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False)
-        ids = [e.ids for e in made]
-        ends = np.cumsum([len(x) for x in ids]) * np.dtype(self.kind).itemsize
-        packed = np.fromiter((i for x in ids for i in x), self.kind).tobytes()
-        begins = [0, *ends[:-1].tolist()]
-        return {f: packed[a:b] for f, a, b in zip(fragments, begins, ends.tolist(), strict=True)}
+        out: dict[bytes, bytes] = {}
+        for at in range(0, len(fragments), AT_ONCE):
+            part = fragments[at : at + AT_ONCE]
+            made = self.tokenizer.encode_batch_fast([f.decode() for f in part], add_special_tokens=False)
+            out.update(zip(part, self._packed([e.ids for e in made]), strict=True))
+        return out
+
+    def _packed(self, ids: list[list[int]]) -> list[bytes]:
+        size = np.dtype(self.kind).itemsize
+        ends = (np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * size).tolist()
+        packed = np.fromiter(chain.from_iterable(ids), self.kind).tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str, kind: str) -> FragmentIds:
+    """For tokenizers that drop white space and case and split into letters, single digits and the rest."""
+    return FragmentIds(path, kind, f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", fold=True)
 
 
 @lru_cache(maxsize=2)
-def fragment_ids(path: str, kind: str) -> FragmentIds:
-    return FragmentIds(path, kind)
+def byte_ids(path: str, kind: str) -> FragmentIds:
+    """For byte-level tokenizers that split into letters, digits and the rest, each with the space before."""
+    return FragmentIds(path, kind, f" ?[{LETTERS}]+| ?[{DIGITS}]+| ?[{MARKS}]+", fold=False)
