@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from savora.llm.fragments import fragment_ids
+from savora.llm.fragments import word_ids
 from savora.llm.text import flat, map_batches, prepare, texts
 from savora.session import stage
 
-SHARD_BYTES = 64 << 20  # of text in one file of records
+SHARD_BYTES = 32 << 20  # of text in one file of records
 MASK = 0xA282EAD8
 HEAD, END = 12, 5  # bytes of a record before and after its payload
 
@@ -82,7 +82,7 @@ def write_records(
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         # Runs of text between ASCII white space, which the tokenizer drops: no token spans two of them.
         split = [t.encode().split() for t in batch.column(1).to_pylist()]
-        ids = fragment_ids(tokenizer, f"<u{width}")(flat(split))
+        ids = word_ids(tokenizer, f"<u{width}")(flat(split))
         made, at = [], 0
         for doc_id, runs in zip(batch.column(0).to_pylist(), split, strict=True):
             made.append(frame(doc_id, b"".join(ids[at : at + len(runs)]) + end, width))
