@@ -29,7 +29,7 @@ class FragmentIds:
     Everything is forgotten once ``limit`` fragments are held; long ones are never held.
     """
 
-    def __init__(self, path: str, kind: str, pieces: str, fold: bool, limit: int = 800_000, longest: int = 48):
+    def __init__(self, path: str, kind: str, pieces: str, fold: bool, limit: int = 400_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
