@@ -137,13 +137,36 @@ def _may_link(near: Near) -> Column:
     return sizes & (matches("x", "y") >= near.least_matches)
 
 
+def _named(ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """``id, text`` of the rows with these ids, which are broadcast up to a checked size."""
+    ids = stage(ids.distinct(), "ids")
+    if ids.count() * DIGEST_BYTES <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    return rows.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+
+
+def _own_shingles(ids: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
+    """``id, own``: how many shingles of each of these rows are in none of the others. Ids of several rows are
+    left out."""
+    named = _named(ids, rows)
+    kind = ids.schema["id"].dataType.simpleString()
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingles(t, near.words) for t in batch.column(1).to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        every = pa.array(np.concatenate(sets).view(np.int64))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), every], ["id", "shingle"])
+
+    each = map_batches(named.select("id", "text"), make, f"id {kind}, shingle long")
+    single = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    once = named.groupBy("id").agg(F.count("*").alias("n")).where("n = 1").select("id")
+    return single.groupBy("id").agg(F.count("*").alias("own")).join(once, "id")
+
+
 def _confirmed(pairs: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough, from the texts of ``rows``."""
     pairs = stage(pairs, "pairs")
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    if ids.count() * DIGEST_BYTES <= BROADCAST_BYTES:
-        ids = F.broadcast(ids)
-    named = rows.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+    named = _named(pairs.select(F.explode(F.array("a", "b")).alias("id")), rows)
     both = pairs.join(named.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         named.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -180,9 +203,10 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     empty table gives an empty result; other columns are not looked at.
 
     Rows of equal sets are one class, named by its smallest id. Classes that share a band of minima are
-    compared to the smallest in the bucket only; after that, a bucket is gone through again only where it
+    compared to one in the bucket only; after that, a bucket is gone through again only where it
     holds several components, and only between members of different ones. No bucket is cut off, and no pair
-    within a component is made. Sizes and packed signatures thin out the pairs; the full sets decide.
+    within a component is made. Sizes and
+    packed signatures thin out the pairs; the full sets decide.
     """
     rows = texts(docs, id_col, text_col)
     all_rows = stage(sketches(docs, near, id_col, text_col), "sketches")
@@ -194,8 +218,12 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     signatures = reps.select("rep", "n_shingles", *packed)
 
     members = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("lead")).where("n > 1")
-    members = stage(members.join(shared, "bucket"), "members").where(F.col("rep") != F.col("lead"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stage(members.join(shared, "bucket"), "members")
+    # The lead of a bucket meets the most others in all of its buckets, as the origin of copies does.
+    met = members.groupBy("rep").agg(F.sum("n").alias("met"))
+    leads = members.join(met, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("met", "rep")).alias("lead"))
+    members = stage(members.join(leads, "bucket"), "members").where(F.col("rep") != F.col("lead"))
     stars = members.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     candidates = (
         stars.join(signatures.alias("x"), F.col("a") == F.col("x.rep"))
@@ -214,11 +242,19 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
     open_ = placed.join(mixed.where("roots > 1").select("bucket", "main"), "bucket")
-    open_ = stage(open_.join(signatures, "rep"), "open")
+    # Rows share at most those shingles that are not their own, which rules out most pairs of remote copies.
+    own = _own_shingles(open_.select(F.col("rep").alias("id")), rows, near)
+    shared = (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared")
+    open_ = open_.join(signatures, "rep").join(own, F.col("rep") == F.col("id"), "left").select(
+        "bucket", "rep", "root", "main", "n_shingles", shared, *packed
+    )
+    open_ = stage(open_, "open")
+    both = F.least("x.shared", "y.shared")
+    enough = both * 100 >= (F.col("x.n_shingles") + F.col("y.n_shingles") - both) * near.percent
     x, y = open_.where("root != main").alias("x"), open_.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
     across = x.join(
-        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & _may_link(near)
+        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & enough & _may_link(near)
     ).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     more = stage(_confirmed(across.distinct(), rows, near), "links")
     if not more.isEmpty():
