@@ -17,6 +17,7 @@ from savora.llm.text import LOWER, WordHashes, map_batches, mix, texts
 from savora.session import stage
 
 MINIMA, BITS = 128, 2
+FINE = 1024  # minima of the longer signatures, for pairs that are many
 LANES = 64 // BITS  # minima in a packed number
 PACKED = MINIMA // LANES
 LOW = 0x5555555555555555  # the lower bit of each lane
@@ -39,20 +40,19 @@ class Near:
     def bands(self) -> int:
         return MINIMA // self.rows
 
-    @property
-    def least_matches(self) -> int:
-        """Equal lanes below which a pair is no candidate, six deviations under those of the faintest link.
+    def least_matches(self, count: int, deviations: int) -> int:
+        """Of ``count`` lanes so many match in a candidate: some deviations fewer than in the faintest link.
 
         Lanes of different minima agree by chance once in ``2**BITS``: of similarity J, J + (1 - J) / 2**BITS match.
         """
         t, chance = self.percent / 100, 1 / 2**BITS
         p = t + (1 - t) * chance
-        return int(MINIMA * p - 6 * (MINIMA * p * (1 - p)) ** 0.5)
+        return int(count * p - deviations * (count * p * (1 - p)) ** 0.5)
 
 
 _random = np.random.default_rng(20240229)
-FACTORS = _random.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-OFFSETS = _random.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
+FACTORS = _random.integers(0, 1 << 63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+OFFSETS = _random.integers(0, 1 << 63, FINE, dtype=np.uint64)
 
 
 @lru_cache(maxsize=1)
@@ -74,15 +74,21 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(value)
 
 
-def minima(values: np.ndarray) -> np.ndarray:
+def minima(values: np.ndarray, count: int = MINIMA) -> np.ndarray:
     """The least value under each of the hash functions; pieces bound the memory for long texts."""
-    least = np.full(MINIMA, np.uint64(2**64 - 1))
-    for at in range(0, len(values), 4096):
-        part = values[at : at + 4096, None] * FACTORS + OFFSETS
+    least = np.full(count, np.uint64(2**64 - 1))
+    for at in range(0, len(values), 2048):
+        part = values[at : at + 2048, None] * FACTORS[:count] + OFFSETS[:count]
         least = np.minimum(least, part.min(axis=0))
     return least
 
 
+def pack(least: np.ndarray) -> np.ndarray:
+    """The low bits of each row of minima, ``LANES`` of them in a number."""
+    lanes = (mix(least) & np.uint64(2**BITS - 1)).reshape(len(least), -1, LANES)
+    return (lanes << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
 def _sketch(batch: pa.RecordBatch, near: Near) -> pa.RecordBatch:
     sets = [shingles(t, near.words) for t in batch.column(1).to_pylist()]
     least = np.stack([minima(s) for s in sets])
@@ -90,8 +96,7 @@ def _sketch(batch: pa.RecordBatch, near: Near) -> pa.RecordBatch:
     used = least[:, : near.bands * near.rows].reshape(len(sets), near.bands, near.rows)
     for r in range(near.rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + used[:, :, r])
-    lanes = (mix(least) & np.uint64(2**BITS - 1)).reshape(len(sets), PACKED, LANES)
-    packed = (lanes << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
+    packed = pack(least)
     offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * near.bands)
     return pa.RecordBatch.from_arrays(
         [
@@ -115,14 +120,14 @@ def sketches(docs: DataFrame, near: Near, id_col: str = "doc_id", text_col: str
     return map_batches(rows, lambda batch: _sketch(batch, near), schema)
 
 
-def matches(left: str, right: str) -> Column:
+def matches(left: str, right: str, name: str = "s", count: int = MINIMA) -> Column:
     """Equal lanes of two packed signatures, counted in bits."""
 
     def unequal(i: int) -> Column:
-        x = F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))
+        x = F.col(f"{left}.{name}{i}").bitwiseXOR(F.col(f"{right}.{name}{i}"))
         return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(LOW)))
 
-    return F.lit(MINIMA) - reduce(Column.__add__, map(unequal, range(PACKED)))
+    return F.lit(count) - reduce(Column.__add__, map(unequal, range(count // LANES)))
 
 
 def similarity(left: str, right: str) -> Column:
@@ -134,7 +139,7 @@ def similarity(left: str, right: str) -> Column:
 def _may_link(near: Near) -> Column:
     """Sizes and signatures of ``x`` and ``y`` allow for a link."""
     sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * near.percent
-    return sizes & (matches("x", "y") >= near.least_matches)
+    return sizes & (matches("x", "y") >= near.least_matches(MINIMA, 6))
 
 
 def _named(ids: DataFrame, rows: DataFrame) -> DataFrame:
@@ -145,9 +150,9 @@ def _named(ids: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
 
 
-def _own_shingles(ids: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
-    """``id, own``: how many shingles of each of these rows are in none of the others. Ids of several rows are
-    left out."""
+def _details(ids: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
+    """``id, own, t0...``: how many shingles of each of these rows are in none of the others, and a longer
+    signature. Ids of several rows are left out."""
     named = _named(ids, rows)
     kind = ids.schema["id"].dataType.simpleString()
 
@@ -158,9 +163,19 @@ def _own_shingles(ids: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0).take(at), every], ["id", "shingle"])
 
     each = map_batches(named.select("id", "text"), make, f"id {kind}, shingle long")
+    def long_signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
+        least = np.stack([minima(shingles(t, near.words), FINE) for t in batch.column(1).to_pylist()])
+        columns = [pa.array(c) for c in np.ascontiguousarray(pack(least).T)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *LONG])
+
+    signed = map_batches(named.select("id", "text"), long_signatures, f"id {kind}, " + ", ".join(f"{c} long" for c in LONG))
     single = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
     once = named.groupBy("id").agg(F.count("*").alias("n")).where("n = 1").select("id")
-    return single.groupBy("id").agg(F.count("*").alias("own")).join(once, "id")
+    own = single.groupBy("id").agg(F.count("*").alias("own"))
+    return signed.join(once, "id").join(own, "id", "left")
+
+
+LONG = [f"t{i}" for i in range(FINE // LANES)]
 
 
 def _confirmed(pairs: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
@@ -243,18 +258,19 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     mixed = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
     open_ = placed.join(mixed.where("roots > 1").select("bucket", "main"), "bucket")
     # Rows share at most those shingles that are not their own, which rules out most pairs of remote copies.
-    own = _own_shingles(open_.select(F.col("rep").alias("id")), rows, near)
+    own = _details(open_.select(F.col("rep").alias("id")), rows, near)
     shared = (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared")
     open_ = open_.join(signatures, "rep").join(own, F.col("rep") == F.col("id"), "left").select(
-        "bucket", "rep", "root", "main", "n_shingles", shared, *packed
+        "bucket", "rep", "root", "main", "n_shingles", shared, *packed, *LONG
     )
     open_ = stage(open_, "open")
     both = F.least("x.shared", "y.shared")
     enough = both * 100 >= (F.col("x.n_shingles") + F.col("y.n_shingles") - both) * near.percent
+    close = matches("x", "y", "t", FINE) >= near.least_matches(FINE, 5)
     x, y = open_.where("root != main").alias("x"), open_.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
     across = x.join(
-        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & enough & _may_link(near)
+        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & enough & _may_link(near) & F.coalesce(close, F.lit(True))
     ).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     more = stage(_confirmed(across.distinct(), rows, near), "links")
     if not more.isEmpty():
