@@ -181,7 +181,7 @@ LONG = [f"t{i}" for i in range(FINE // LANES)]
 def _confirmed(pairs: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough, from the texts of ``rows``."""
     pairs = stage(pairs, "pairs")
-    named = _named(pairs.select(F.explode(F.array("a", "b")).alias("id")), rows)
+    named = _named(pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()), rows)
     both = pairs.join(named.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         named.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
