@@ -45,38 +45,35 @@ _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 def _bigrams(words: str) -> Column:
     """Distinct pairs of consecutive words; a single word is its own."""
-    pairs = F.transform(
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.concat_ws(" ", F.element_at(words, (i + 1).cast("int")), w),
-    )
-    return F.array_distinct(F.when(F.size(words) == 1, F.col(words)).otherwise(pairs))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    # Zipped, so that no lambda names the words and has them made again for each pair.
+    pairs = F.arrays_zip(F.slice(words, 1, n).alias("a"), F.slice(words, 2, n).alias("b"))
+    joined = F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    return F.array_distinct(F.when(F.size(words) == 1, F.col(words)).otherwise(joined))
 
 
-def _units(text: Column) -> Column:
-    """``(first line, text)`` of every line, and of every paragraph of several lines; lines count from 1.
+def _units(rows: DataFrame) -> DataFrame:
+    """``doc_id, line, unit``: every line, and every paragraph of several lines; lines count from 1.
 
-    Paragraphs stand between lines that are empty but for white space.
+    Paragraphs stand between lines that are empty but for blanks.
     """
-    lines = F.split(text, "\n")
-    single = F.transform(lines, lambda line, i: F.struct((i + 1).cast("long").alias("line"), line.alias("unit")))
-    starts = F.filter(
-        F.transform(lines, lambda line, i: F.when(F.trim(line) == "", i + 1)), lambda i: i.isNotNull()
+    split = rows.select("doc_id", F.split("text", "\n").alias("lines"))
+    lines = split.select("doc_id", F.posexplode("lines").alias("at", "unit"))
+    blank = F.filter(F.transform("lines", lambda line, i: F.when(F.trim(line) == "", i + 1)), lambda i: i.isNotNull())
+    bounds = split.select(
+        "doc_id", "lines", F.concat(F.array(F.lit(0)), blank, F.array(F.size("lines") + 1)).alias("bounds")
+    )
+    pairs = F.arrays_zip(
+        F.slice("bounds", 1, F.size("bounds") - 1).alias("before"), F.slice("bounds", 2, F.size("bounds") - 1).alias("end")
     )
-    bounds = F.concat(F.array(F.lit(0)), starts, F.array(F.size(lines) + 1))
-    paragraphs = F.transform(
-        F.filter(
-            F.transform(
-                F.slice(bounds, 2, F.size(bounds) - 1),
-                lambda end, i: F.struct((F.element_at(bounds, (i + 1).cast("int")) + 1).alias("first"), end.alias("end")),
-            ),
-            lambda p: p["end"] - p["first"] > 1,
-        ),
-        lambda p: F.struct(
-            p["first"].cast("long").alias("line"),
-            F.concat_ws(" ", F.slice(lines, p["first"], p["end"] - p["first"])).alias("unit"),
-        ),
+    paragraphs = bounds.select("doc_id", "lines", F.explode(pairs).alias("p")).select(
+        "doc_id", "lines", (F.col("p")["before"] + 1).alias("first"), F.col("p")["end"].alias("end")
     )
-    return F.concat(single, paragraphs)
+    return lines.select("doc_id", (F.col("at") + 1).cast("long").alias("line"), "unit").unionByName(
+        paragraphs.where("end - first > 1").select(
+            "doc_id", F.col("first").cast("long").alias("line"), F.concat_ws(" ", F.slice("lines", F.col("first"), F.col("end") - F.col("first"))).alias("unit")
+        )
+    )
 
 
 def template_bigrams(spark: SparkSession, templates: Iterable[tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -112,8 +109,8 @@ def license_notices(
     least, most = (sizes[0] or 0) * ratio, (sizes[1] or 0) / ratio
     # Of the unit's words, before bigrams are made; repeated ones make fewer bigrams.
     units = (
-        rows.select("doc_id", F.explode(_units(F.col("text"))).alias("u"))
-        .select("doc_id", "u.line", _words(F.col("u.unit")).alias("words"))
+        _units(rows)
+        .select("doc_id", "line", _words(F.col("unit")).alias("words"))
         .where(F.size("words") >= least)
         .select("doc_id", "line", _bigrams("words").alias("b"))
         .where(F.size("b").between(least, most))
