@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,22 +60,50 @@ def _units(rows: DataFrame) -> DataFrame:
     Paragraphs stand between lines that are empty but for blanks.
     """
     split = rows.select("doc_id", F.split("text", "\n").alias("lines"))
-    lines = split.select("doc_id", F.posexplode("lines").alias("at", "unit"))
     blank = F.filter(F.transform("lines", lambda line, i: F.when(F.trim(line) == "", i + 1)), lambda i: i.isNotNull())
     bounds = split.select(
         "doc_id", "lines", F.concat(F.array(F.lit(0)), blank, F.array(F.size("lines") + 1)).alias("bounds")
     )
-    pairs = F.arrays_zip(
+    gaps = F.arrays_zip(
         F.slice("bounds", 1, F.size("bounds") - 1).alias("before"), F.slice("bounds", 2, F.size("bounds") - 1).alias("end")
     )
-    paragraphs = bounds.select("doc_id", "lines", F.explode(pairs).alias("p")).select(
-        "doc_id", "lines", (F.col("p")["before"] + 1).alias("first"), F.col("p")["end"].alias("end")
+    lines = F.transform("lines", lambda line, i: _unit(i + 1, line))
+    # Joined inside the array: after an explode each paragraph would carry all lines of its text.
+    paragraphs = F.transform(
+        F.filter(gaps, lambda g: g["end"] - g["before"] > 2),
+        lambda g: _unit(g["before"] + 1, F.concat_ws(" ", F.slice("lines", g["before"] + 1, g["end"] - g["before"] - 1))),
     )
-    return lines.select("doc_id", (F.col("at") + 1).cast("long").alias("line"), "unit").unionByName(
-        paragraphs.where("end - first > 1").select(
-            "doc_id", F.col("first").cast("long").alias("line"), F.concat_ws(" ", F.slice("lines", F.col("first"), F.col("end") - F.col("first"))).alias("unit")
-        )
-    )
+    return bounds.select("doc_id", F.explode(F.concat(lines, paragraphs)).alias("u")).select("doc_id", "u.line", "u.unit")
+
+
+def _unit(line: Column, text: Column) -> Column:
+    return F.struct(line.cast("long").alias("line"), text.alias("unit"))
+
+
+def probes(bigrams: Iterable[set[str]], min_dice: float) -> list[str]:
+    """Bigrams of which every unit has one that comes up to ``min_dice`` with any template.
+
+    Such a unit shares at least ``t / (2 - t)`` of a template's bigrams, so it cannot miss all of any others
+    that are more than the rest. Long bigrams are taken, which are rare, and those that serve several templates.
+    """
+    chosen: set[str] = set()
+    for own in bigrams:
+        most_missed = len(own) - ceil(len(own) * min_dice / (2 - min_dice) - 1e-9)
+        ranked = sorted(own, key=lambda b: (b not in chosen, -len(b), b))
+        chosen.update(ranked[: most_missed + 1])
+    return sorted(chosen)
+
+
+def _pattern(bigrams: list[str]) -> str:
+    """A pattern for texts that have one of the bigrams; only A-Z are taken for a-z, as in ``_words``."""
+    if not bigrams:
+        return "(?!)"
+    # By first letter, so that most words are passed over after one look at each letter.
+    tails = defaultdict(list)
+    for b in bigrams:
+        tails[b[0]].append(b[1:].replace(" ", "[^a-z0-9]+"))
+    either = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items())
+    return f"(?i)(?<![a-z0-9])(?:{either})(?![a-z0-9])"
 
 
 def template_bigrams(spark: SparkSession, templates: Iterable[tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -94,24 +124,27 @@ def license_notices(
     """``doc_id, line, license, dice``: the licence that a line or paragraph of a text states.
 
     The coefficient is twice the common bigrams over the bigrams of both; ``dice`` is the best of all
-    templates and of the line and the paragraph that begin at ``line``, of equals the first by name. Sizes a unit cannot have at ``min_dice``
-    rule a template out before bigrams are compared. A text that is null, empty or without words has no rows.
+    templates and of the line and the paragraph that begin at ``line``, of equals the first by name. Texts and units
+    without any of the bigrams that ``min_dice`` asks for (``probes``) go first; sizes a unit cannot have at
+    ``min_dice`` rule a template out before bigrams are compared. A text that is null, empty or without words has no rows.
     Rows that repeat an id and a line are one; null ids count as one document. Other columns are not looked
     at.
 
     Templates are a list in the program, and so a small broadcast; only common bigrams are shuffled, summed up.
     """
-    rows = texts(docs, id_col, text_col)
     known = template_bigrams(docs.sparkSession, templates)
+    of_template = defaultdict(set)
+    for row in known.select("template", "bigram").collect():
+        of_template[row.template].add(row.bigram)
+    stated = F.rlike(F.col("text"), F.lit(pattern := _pattern(probes(of_template.values(), min_dice))))
     # By Dice >= t: size of the unit >= t / (2 - t) of the template's, and the other way round.
     ratio = min_dice / (2 - min_dice)
-    sizes = known.agg(F.min("size"), F.max("size")).first()
-    least, most = (sizes[0] or 0) * ratio, (sizes[1] or 0) / ratio
-    # Of the unit's words, before bigrams are made; repeated ones make fewer bigrams.
+    sizes = [len(b) for b in of_template.values()]
+    least, most = min(sizes, default=0) * ratio, max(sizes, default=0) / ratio
     units = (
-        _units(rows)
+        _units(texts(docs, id_col, text_col).where(stated))
+        .where(F.rlike(F.col("unit"), F.lit(pattern)))
         .select("doc_id", "line", _words(F.col("unit")).alias("words"))
-        .where(F.size("words") >= least)
         .select("doc_id", "line", _bigrams("words").alias("b"))
         .where(F.size("b").between(least, most))
     )
