@@ -266,7 +266,7 @@ lexical_hits AS (
 
 
 TEXT_QUERIES = """text_queries AS (
-  SELECT item_id AS query_id, array_to_string(list_slice(string_split(text, ' '), 1, 5), ' ') AS text FROM benchmark)"""
+  SELECT item_id AS query_id, text FROM benchmark)"""
 
 DOCUMENT_POSTINGS = postings("documents", "doc_id", "text")
 
@@ -362,11 +362,9 @@ neighbours AS (
     CAST(row_number() OVER (PARTITION BY recipe_id ORDER BY round(CASE WHEN size > 0 THEN dot / size ELSE 0 END, 6) DESC, neighbour) AS INTEGER) AS rank
   FROM co QUALIFY rank <= 20)"""
 
-SESSIONS = """firsts AS (
-  SELECT user_id, event_id FROM events WHERE event_type = 'purchase'
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 3),
-sessions AS (
-  SELECT DISTINCT user_id AS session_id, event_id % (SELECT count(*) FROM embeddings) AS recipe_id FROM firsts)"""
+SESSIONS = """sessions AS (
+  SELECT DISTINCT user_id AS session_id, event_id % (SELECT count(*) FROM embeddings) AS recipe_id
+  FROM events WHERE event_type = 'purchase')"""
 
 
 def mean_vector(source: str, key: str, vectors: str, item: str) -> str:
@@ -380,9 +378,7 @@ def mean_vector(source: str, key: str, vectors: str, item: str) -> str:
 
 
 RECOMMEND = f"""WITH {FULL}, {SEARCHABLE}, {PROFILES},
-seeds AS (
-  SELECT user_id, recipe_id FROM (SELECT user_id, recipe_id, max(ts) AS latest FROM reviews GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY latest DESC, recipe_id) <= 3),
+seeds AS (SELECT DISTINCT user_id, recipe_id FROM reviews),
 {mean_vector("seeds", "user_id", "searchable", "recipe_id")},
 near AS (
   SELECT user_id, s.recipe_id, s.name, round(list_cosine_similarity(vector, embedding), 6) + 0.0 AS semantic
@@ -403,7 +399,7 @@ SELECT user_id, rank, recipe_id, name, score FROM ranked
 WHERE user_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)
 UNION ALL
 SELECT CAST(c_custkey AS VARCHAR), rank, recipe_id, name, score FROM customer, best
-WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM seeds)"""
+WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM ranked)"""
 
 # --- one entry per query ---------------------------------------------------------------------------
 

@@ -12,7 +12,7 @@ from savora.operators import features as ft
 from savora.operators.fit import RatingModel, fit_rating_model
 from savora.operators.merge import merge, validate_merge
 from savora.operators.metrics import evaluate, output_profile
-from savora.operators.nearest import rank_per, session_neighbours, top_k_cosine
+from savora.operators.nearest import session_neighbours, top_k_cosine
 from savora.operators.network import read_weights, score_corpus
 from savora.operators.reviews import recipe_level
 from savora.operators.search import (
@@ -231,22 +231,17 @@ def recommend(
     profiles: DataFrame,
     top_k: int = 10,
     settings: Settings = Settings(),
-    seeds_per_user: int = 3,
 ) -> DataFrame:
     """``(user_id, rank, recipe_id, name, score)`` for a batch of users.
 
-    A user's latest reviewed items are the session; its nearest neighbours are ranked again by
-    similarity, quality, tags and the user's affinity. Users without reviews get the best rated items.
+    All items a user has reviewed are the session, and are not recommended again; its nearest neighbours are
+    ranked again by similarity, quality, tags and the user's affinity. Users for whom there are none, as all
+    those without a review of a known item, get the best rated items.
     ``items`` as in :func:`search`, with ``embedding``.
     """
     tags = sorted(c.removeprefix("intensity_") for c in items.columns if c.startswith("intensity_"))
-    when = F.unix_micros(F.col("ts").cast("timestamp"))
-    recent = reviews.join(bounded_broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
-    last = recent.groupBy("user_id", "recipe_id").agg(F.max(when).alias("_when"))
-    seeds = stage(
-        rank_per(last, "user_id", "recipe_id", "_when", seeds_per_user).select("user_id", "recipe_id"),
-        "seeds",
-    )
+    asked = reviews.join(bounded_broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
+    seeds = stage(asked.select("user_id", "recipe_id").distinct(), "seeds")
     near = session_neighbours(seeds, items, settings.n_neighbors, session_id="user_id")
     near = stage(near.select("user_id", "recipe_id", F.col("score").alias("semantic")), "near")
     signals = _item_signals(items, tags, settings.polarity)
@@ -265,7 +260,7 @@ def recommend(
         .limit(top_k)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "recipe_id", "name", "score"))).alias("best"))
     )
-    new = users.select("user_id").distinct().join(seeds, "user_id", "left_anti")
+    new = users.select("user_id").distinct().join(warm.select("user_id"), "user_id", "left_anti")
     cold = (
         new.select("user_id", F.posexplode(best.scalar()).alias("pos", "item"))
         .select("user_id", (F.col("pos") + 1).alias("rank"), "item.recipe_id", "item.name", "item.score")

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 TAGS = ("bulk", "open", "returned")
 POLARITY = {"bulk": 0, "open": 1, "returned": -1}
 NUMERIC = ("size", "price")
-SEEDS_PER_SESSION = 3
-QUERY_WORDS = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,28 +83,16 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per buyer the vectors behind their first purchases."""
-    from savora.operators.nearest import rank_per
-
+    """Per buyer the vectors behind their purchases."""
     n = table(spark, sf_dir, "embeddings").agg(F.count("*")).scalar()
     bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    first = rank_per(
-        bought.select("user_id", "event_id", (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("recency")),
-        "user_id",
-        "event_id",
-        "recency",
-        SEEDS_PER_SESSION,
-    )
-    return first.select(
+    return bought.select(
         F.col("user_id").alias("session_id"), F.pmod(F.col("event_id"), n).alias("recipe_id")
     ).distinct()
 
 
 def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.slice(F.split("text", " "), 1, QUERY_WORDS)
-    return table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.array_join(words, " ").alias("text")
-    )
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
 def item_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

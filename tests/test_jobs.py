@@ -144,9 +144,17 @@ def test_search_and_recommend(spark, settings):
         assert all(a.score >= b.score for a, b in zip(got, got[1:]) if a.query_id == b.query_id)
         if mode == "lexical":
             assert [r.name for r in got if r["rank"] == 1] == ["dish 7", "dish 9"]
-    users = spark.createDataFrame([("u1",), ("u2",), ("nobody",)], "user_id string")
-    got = jobs.recommend(users, labels, items, profiles, 4, settings).collect()
-    assert sorted((r.user_id, r["rank"]) for r in got) == [(u, n) for u in ("nobody", "u1", "u2") for n in range(1, 5)]
+    # What "stray" has reviewed is in no table of items.
+    strays = labels.limit(1).withColumns({"user_id": F.lit("stray"), "recipe_id": F.lit("unknown")})
+    users = spark.createDataFrame([("u1",), ("u2",), ("nobody",), ("stray",)], "user_id string")
+    got = jobs.recommend(users, labels.unionByName(strays), items, profiles, 4, settings).collect()
+    assert sorted((r.user_id, r["rank"]) for r in got) == [
+        (u, n) for u in ("nobody", "stray", "u1", "u2") for n in range(1, 5)
+    ]
+    cold = [sorted((r["rank"], r.recipe_id) for r in got if r.user_id == u) for u in ("nobody", "stray")]
+    assert cold[0] == cold[1]
+    reviewed = {(r.user_id, r.recipe_id) for r in labels.select("user_id", "recipe_id").distinct().collect()}
+    assert not reviewed & {(r.user_id, r.recipe_id) for r in got if r.user_id in ("u1", "u2")}
     best = items.orderBy(F.desc(F.round((F.col("bayesian_rating") - 1) / 4, 6)), "recipe_id").limit(4).collect()
     assert [r.recipe_id for r in sorted((r for r in got if r.user_id == "nobody"), key=lambda r: r["rank"])] == [
         r.recipe_id for r in best
