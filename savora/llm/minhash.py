@@ -260,8 +260,8 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     # Rows share at most those shingles that are not their own, which rules out most pairs of remote copies.
     own = _details(open_.select(F.col("rep").alias("id")), rows, near)
     shared = (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared")
-    open_ = open_.join(signatures, "rep").join(own, F.col("rep") == F.col("id"), "left").select(
-        "bucket", "rep", "root", "main", "n_shingles", shared, *packed, *LONG
+    open_ = open_.join(reps.select("rep", "n_shingles", "bands", *packed), "rep").join(own, F.col("rep") == F.col("id"), "left").select(
+        "bucket", "rep", "root", "main", "n_shingles", "bands", shared, *packed, *LONG
     )
     open_ = stage(open_, "open")
     both = F.least("x.shared", "y.shared")
@@ -269,8 +269,11 @@ def near_groups(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
     close = matches("x", "y", "t", FINE) >= near.least_matches(FINE, 5)
     x, y = open_.where("root != main").alias("x"), open_.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
+    # A pair is made in the least bucket that both are in; where one of them leads that, it was compared above.
+    least = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
+    near_by = once & enough & _may_link(near) & F.coalesce(close, F.lit(True)) & least
     across = x.join(
-        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & enough & _may_link(near) & F.coalesce(close, F.lit(True))
+        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & near_by
     ).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     more = stage(_confirmed(across.distinct(), rows, near), "links")
     if not more.isEmpty():
