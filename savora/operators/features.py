@@ -115,11 +115,14 @@ def indicator_name(prefix: str, token: str) -> str:
 def with_indicators(
     df: DataFrame, column: str, prefix: str, vocab: Sequence[str] | None = None, top_n: int = 100
 ) -> DataFrame:
-    """Add one 0/1 column per vocabulary token, map-only. Tokens with the same column name share it."""
+    """Add one 0/1 column per vocabulary token, map-only.
+
+    Tokens whose column names are equal but for case share one, named after the first of them.
+    """
     vocab = vocabulary(df, column, top_n) if vocab is None else vocab
-    names: dict[str, list[str]] = {}
+    groups: dict[str, list[str]] = {}
     for token in vocab:
-        names.setdefault(indicator_name(prefix, token), []).append(token)
+        groups.setdefault(indicator_name(prefix, token).lower(), []).append(token)
     parsed = df.withColumn("_tokens", tokens(F.col(column)))
 
     def present(group: list[str]) -> Column:
@@ -129,7 +132,7 @@ def with_indicators(
 
     return parsed.select(
         *(named(c) for c in df.columns),
-        *(present(group).cast("int").alias(name) for name, group in names.items()),
+        *(present(group).cast("int").alias(indicator_name(prefix, group[0])) for group in groups.values()),
     )
 
 

@@ -49,6 +49,14 @@ def test_indicators(spark):
     assert sorted(map(tuple, long.collect())) == [(1, "cat_low_fat"), (1, "cat_x"), (2, "cat_low_fat")]
 
 
+def test_tokens_that_differ_in_case_share_a_column(spark, tmp_path):
+    df = spark.createDataFrame([(1, "Low x Low"), (2, "low"), (3, "x")], "i int, t string")
+    wide = ft.with_indicators(df, "t", "cat")
+    assert wide.columns == ["i", "t", "cat_Low", "cat_x"]
+    wide.write.parquet(str(tmp_path / "wide"))
+    assert [r.cat_Low for r in wide.orderBy("i").collect()] == [1, 1, 0]
+
+
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, "7.5 a`b")], "i int, t string").withColumn("x.y", F.lit(2.0))
     wide = ft.with_indicators(ft.scale(df, ["x.y"]), "t", "ing")
