@@ -11,7 +11,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,7 +30,8 @@ ITEM_BLOCK = 1024
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return np.where(np.isnan(flat), 0.0, flat).reshape(-1, width)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -73,10 +74,12 @@ def top_k_cosine(
 
     ``exclude(query_id, item_id)`` names items a query must not get. A query with e exclusions looks
     for k + e items, so k are left. Scores are rounded to ``places`` before ranking, so float noise
-    decides no tie.
+    decides no tie. Rows without a vector take no part; missing numbers inside one count as 0, and a
+    vector of another width than the first item's is an error.
     """
-    queries = queries.select(
-        F.col(query_id), F.col(query_vector).cast("array<double>").alias("vector")
+    width = _width(items, item_vector)
+    queries = queries.where(F.col(query_vector).isNotNull()).select(
+        F.col(query_id), _checked(F.col(query_vector), width).cast("array<double>").alias("vector")
     )
     if exclude is not None:
         exclude = exclude.select(query_id, item_id).distinct()
@@ -87,8 +90,9 @@ def top_k_cosine(
     else:
         queries = queries.withColumn("extra", F.lit(0))
 
-    width = _width(items, item_vector)
-    items = items.select(item_id, item_vector).where(F.col(item_vector).isNotNull())
+    items = items.where(F.col(item_vector).isNotNull()).select(
+        item_id, _checked(F.col(item_vector), width).alias(item_vector)
+    )
     schema = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),
@@ -96,7 +100,9 @@ def top_k_cosine(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    most = max(1, QUERY_VALUES // max(width, 1))
+    if not width:
+        return rank_per(items.sparkSession.createDataFrame([], schema), query_id, item_id, "score", k)
+    most = max(1, QUERY_VALUES // width)
     rows = queries.limit(most + 1).toArrow()
     if len(rows) <= most:
         found = _scan(rows, items, k, width, places, schema)
@@ -112,6 +118,11 @@ def _width(items: DataFrame, item_vector: str) -> int:
     return first.d if first else 0
 
 
+def _checked(vector: Column, width: int) -> Column:
+    message = F.concat(F.lit(f"vectors must have {width} numbers, this one has "), F.size(vector).cast("string"))
+    return F.when(F.size(vector) == width, vector).otherwise(F.raise_error(message))
+
+
 class _Best:
     """The best items per query among those seen so far.
 
@@ -215,10 +226,12 @@ def session_vectors(
     """``(session_id, vector)``: mean embedding of each session's items.
 
     One average per dimension, so the rows combine before the shuffle whatever a session's length.
+    Items without a vector do not count, nor do sessions that have no others.
     """
     if width is None:
         width = _width(items, item_vector)
-    seeds = sessions.select(session_id, item_id).join(items.select(item_id, item_vector), item_id)
+    given = items.select(item_id, item_vector).where(F.col(item_vector).isNotNull())
+    seeds = sessions.select(session_id, item_id).join(given, item_id)
     means = (F.avg(F.get(F.col(item_vector), F.lit(d)).cast("double")) for d in range(width))
     return seeds.groupBy(session_id).agg(F.array(*means).alias("vector"))
 

@@ -65,3 +65,22 @@ def test_rank_limit_is_applied_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 2 as q", "id as i", "double(id) as s")
     plan = nn.rank_per(df, "q", "i", "s", 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("most", [nn.QUERY_VALUES, 2])
+def test_missing_and_ragged_vectors(spark, monkeypatch, most):
+    monkeypatch.setattr(nn, "QUERY_VALUES", most)
+    items = spark.createDataFrame(
+        [("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 1.0]), ("d", [None, 1.0])], "recipe_id string, embedding array<double>"
+    )
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, None]), (4, [0.0, 2.0])], "query_id int, vector array<double>")
+    got = {(r.query_id, r["rank"]): (r.recipe_id, r.score) for r in nn.top_k_cosine(queries, items, 2).collect()}
+    assert got == {
+        (1, 1): ("a", 1.0), (1, 2): ("c", 0.0), (3, 1): ("a", 0.0), (3, 2): ("c", 0.0), (4, 1): ("c", 1.0), (4, 2): ("d", 1.0)
+    }
+    assert nn.top_k_cosine(queries, items.limit(0), 2).count() == 0
+    sessions = spark.createDataFrame([("s", "b"), ("t", "a"), ("t", "b")], "session_id string, recipe_id string")
+    assert {r.session_id for r in nn.session_neighbours(sessions, items, 1).collect()} == {"t"}
+    ragged = queries.unionByName(spark.createDataFrame([(9, [1.0])], queries.schema))
+    with pytest.raises(Exception, match="vectors must have 2 numbers, this one has 1"):
+        nn.top_k_cosine(ragged, items, 2).collect()
