@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot above 1/MAX_HOT of all rows, so there are never more than MAX_HOT hot keys and no
 # remaining key outweighs 1/MAX_HOT of the work. Keys below MIN_ROWS are not worth cutting.
 MAX_HOT = 1000
 MIN_ROWS = 10_000
 
-# Above this many rows a side is joined by shuffle instead of broadcast.
+# Above this many rows or bytes a side is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` was counted to hold at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def _bytes(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name.replace('`', '``')}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+        size = F.size(column) * 8
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)).cast("bigint") + 16
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` was counted to hold at most so many rows, and so many bytes in all its columns."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    width = sum(map(_bytes, df.schema.fields), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only if :func:`fits_broadcast`."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
@@ -63,7 +87,7 @@ def keyed_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: list
     Few facts are broadcast, so the table is not shuffled; with more, hot keys are cut into slices.
     ``facts`` is read several times and should be stored or staged.
     """
-    if facts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits_broadcast(facts):
         return dimension.join(F.broadcast(facts), key)
     hot = hot_keys(facts.groupBy(key).agg(F.count("*").alias("_n")), key, "_n")
     return salted_join(facts, dimension, key, hot, spread_by)

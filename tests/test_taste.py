@@ -97,6 +97,19 @@ def test_bounded_broadcast(spark):
     assert skew.bounded_broadcast(df, 9) is df
     plan = df.join(skew.bounded_broadcast(df, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan
+    wide = spark.range(10).selectExpr("id", "array_repeat(1.0D, 1000) v", "repeat('x', 50) s", "named_struct('a', 1) t")
+    assert skew.fits_broadcast(wide) and not skew.fits_broadcast(wide, max_bytes=80_000)
+    assert skew.fits_broadcast(wide.limit(0), max_bytes=0)
+
+
+def test_keyed_join_beyond_the_broadcast(spark, monkeypatch):
+    facts = spark.range(500).selectExpr("id", "if(id < 400, 1, id) AS k")
+    dimension = spark.range(500).selectExpr("id AS k", "id * 2 AS v")
+    small = sorted(map(str, skew.keyed_join(facts, dimension, "k", ["id"]).select("id", "k", "v").collect()))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(skew, "MIN_ROWS", 20)
+    large = skew.keyed_join(facts, dimension, "k", ["id"]).select("id", "k", "v")
+    assert sorted(map(str, large.collect())) == small and len(small) == 500
 
 
 # --- ranked lists ----------------------------------------------------------------------------
