@@ -62,6 +62,7 @@ def settings_for(spark: SparkSession, d: str, run: str) -> Settings:
     for field, df in inputs.items():
         df.write.parquet(f"{base}/{field}")
     return Settings(
+        folder=base,
         raw_recipes_path=f"{base}/raw_recipes_path",
         raw_reviews_path=f"{d}/lineitem.parquet",
         gold_reviews_path=f"{base}/gold_reviews_path",
@@ -478,7 +479,7 @@ def q1_preprocess(spark, d):
 
 
 def q2_train(spark, d):
-    run = jobs.train(spark, settings_for(spark, d, "q2"), skip_scoring=True, report=True)
+    run = jobs.train(spark, settings_for(spark, d, "q2"), report=True)
     return rounded(run.metrics.drop("reg_param", "val_loss"))
 
 
@@ -520,9 +521,9 @@ def d1_index_document_frequencies(spark, d):
 def d1_index_stored(spark, d):
     """Store the index, read back only what the queries' terms need, and search it."""
     path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
-    se.write_index(se.postings(ad.table(spark, d, "documents")), path, buckets=16, slices=2)
+    se.write_index(stage(se.postings(ad.table(spark, d, "documents")), "postings"), path, buckets=16)
     wanted = se.query_terms(ad.text_queries(spark, d))
-    index = se.read_index(spark, path, wanted, buckets=16)
+    index = se.read_index(spark, path, wanted)
     return se.bm25_top(index, wanted, 10).withColumnRenamed("lexical", "score")
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from savora.functions.columns import bounded_rating, rating_logit
@@ -34,6 +34,15 @@ class RatingModel:
         scored = self.model.transform(with_vector(features))
         return scored.withColumn("prediction", bounded_rating(F.col("prediction"))).drop("features")
 
+    def save(self, path: str) -> None:
+        """Store the coefficients and the losses; what was there before is replaced."""
+        self.model.write().overwrite().save(f"{path}/coefficients")
+        self.history.write.mode("overwrite").parquet(f"{path}/history")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> RatingModel:
+        return cls(LinearRegressionModel.load(f"{path}/coefficients"), spark.read.parquet(f"{path}/history"))
+
 
 def fit_rating_model(
     train: DataFrame,
@@ -66,13 +75,17 @@ def fit_rating_model(
 
 
 def item_vectors(features: DataFrame, k: int = 128, item: str = "recipe_id") -> DataFrame:
-    """``(item, embedding)``: principal components of the feature vectors, for similarity without a stored model.
+    """``(item, embedding)`` of :func:`with_item_vectors`."""
+    return with_item_vectors(features, k).select(item, "embedding")
+
+
+def with_item_vectors(features: DataFrame, k: int = 128) -> DataFrame:
+    """Add ``embedding``: principal components of the feature vectors, for similarity without a stored model.
 
     The driver holds a square matrix of the feature width, which the vocabulary sizes bound.
     """
     prepared = with_vector(features)
     width = features.select((F.size("meta") + F.size("tag")).alias("d")).first().d
     model = PCA(k=min(k, width), inputCol="features", outputCol="_components").fit(prepared)
-    return model.transform(prepared).select(
-        item, vector_to_array("_components", "float32").alias("embedding")
-    )
+    embedded = model.transform(prepared).withColumn("embedding", vector_to_array("_components", "float32"))
+    return embedded.drop("features", "_components")

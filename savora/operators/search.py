@@ -7,8 +7,9 @@ names the signals and modes only.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from savora.functions.columns import tokens
@@ -77,32 +78,48 @@ def document_frequencies(index: DataFrame) -> DataFrame:
     return index.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def write_index(index: DataFrame, path: str, buckets: int = INDEX_BUCKETS, slices: int = 16) -> None:
-    """Store the postings by term bucket. A frequent term's documents are spread over ``slices`` writers."""
-    bucket = F.pmod(F.hash("term"), F.lit(buckets)).alias("bucket")
-    (
-        index.select("*", bucket)
-        .withColumn("_slice", F.pmod(F.hash("doc_id"), F.lit(slices)))
-        .repartition("bucket", "_slice")
-        .drop("_slice")
-        .write.partitionBy("bucket")
-        .mode("overwrite")
-        .parquet(path)
-    )
+@dataclass(frozen=True)
+class Index:
+    """Postings, ``term, df``, and one row ``n_docs, avgdl``."""
+
+    postings: DataFrame
+    frequencies: DataFrame
+    stats: DataFrame
+
 
+def write_index(index: DataFrame, path: str, buckets: int = INDEX_BUCKETS) -> None:
+    """Store postings and frequencies by term bucket and sorted by term, document lengths, and corpus statistics.
 
-def read_index(spark, path: str, only: DataFrame | None = None, buckets: int = INDEX_BUCKETS) -> DataFrame:
-    """Read stored postings; with ``only(term)`` just the buckets that can hold these terms."""
-    index = spark.read.parquet(path)
+    ``index`` comes from :func:`postings` and is read four times, so it should be stored or staged. The number
+    of buckets is stored with the statistics. Rows are dealt out by ranges of bucket, term and document, so a
+    frequent term has as many writers as its rows need.
+    """
+    bucket = F.pmod(F.hash("term"), F.lit(buckets)).alias("bucket")
+    parts = {
+        "postings": (index.where(F.col("term").isNotNull()), ["bucket", "term", "doc_id"]),
+        "frequencies": (document_frequencies(index), ["bucket", "term"]),
+    }
+    for name, (rows, order) in parts.items():
+        dealt = rows.select("*", bucket).repartitionByRange(*order).sortWithinPartitions(*order)
+        dealt.write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/{name}")
+    document_lengths(index).write.mode("overwrite").parquet(f"{path}/lengths")
+    stats = corpus_stats(index).withColumn("buckets", F.lit(buckets))
+    stats.write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def read_index(spark: SparkSession, path: str, only: DataFrame | None = None) -> Index:
+    """Read a stored index; with ``only(term)`` just the buckets that can hold these terms."""
+    stats = spark.read.parquet(f"{path}/stats")
+    kind = spark.read.parquet(f"{path}/lengths").schema["doc_id"].dataType.simpleString()
+    postings = spark.read.schema(f"term string, doc_id {kind}, tf bigint, dl bigint, bucket int").parquet(f"{path}/postings")
+    frequencies = spark.read.schema("term string, df bigint, bucket int").parquet(f"{path}/frequencies")
     if only is not None:
+        buckets = stats.first()["buckets"]
         wanted = only.select(F.pmod(F.hash("term"), F.lit(buckets)).alias("b")).distinct()
-        null_bucket = spark.range(1).select(
-            F.pmod(F.hash(F.lit(None).cast("string")), F.lit(buckets)).alias("b")
-        )
         # At most ``buckets`` numbers.
-        numbers = [row.b for row in wanted.union(null_bucket).distinct().collect()]
-        index = index.where(F.col("bucket").isin(numbers))
-    return index.drop("bucket")
+        held = F.col("bucket").isin([row.b for row in wanted.collect()])
+        postings, frequencies = postings.where(held), frequencies.where(held)
+    return Index(postings.drop("bucket"), frequencies.drop("bucket"), stats.drop("buckets"))
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
@@ -113,21 +130,23 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     )
 
 
-def bm25_scores(index: DataFrame, wanted: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+def bm25_scores(index: DataFrame | Index, wanted: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """``(query_id, doc_id, lexical)`` for every document that shares a term with the query.
 
-    ``index`` must hold the postings of the ``wanted(query_id, term)`` terms and all null-term rows.
+    ``index`` must hold the postings of the ``wanted(query_id, term)`` terms and, if it is not a stored
+    one, all null-term rows.
     """
-    stats = corpus_stats(index)
-    n_docs = stats.select("n_docs").scalar().cast("double")
-    avgdl = stats.select("avgdl").scalar()
+    if not isinstance(index, Index):
+        index = Index(index, document_frequencies(index), corpus_stats(index))
+    n_docs = index.stats.select("n_docs").scalar().cast("double")
+    avgdl = index.stats.select("avgdl").scalar()
     wanted_terms = wanted.select("term").distinct()
-    df = document_frequencies(index).join(wanted_terms, "term", "left_semi")
+    df = index.frequencies.join(wanted_terms, "term", "left_semi")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = wanted.join(df, "term").select("query_id", "term", idf.alias("idf"))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     return (
-        index.join(bounded_broadcast(weighted), "term")
+        index.postings.join(bounded_broadcast(weighted), "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("idf") * F.col("tf") / (F.col("tf") + norm)).alias("lexical"))
     )
@@ -156,7 +175,7 @@ def bm25(
 
 
 def bm25_top(
-    index: DataFrame, wanted: DataFrame, pool: int = 100, k1: float = K1, b: float = B, places: int = 6
+    index: DataFrame | Index, wanted: DataFrame, pool: int = 100, k1: float = K1, b: float = B, places: int = 6
 ) -> DataFrame:
     scored = bm25_scores(index, wanted, k1, b).withColumn("lexical", F.round("lexical", places))
     return rank_per(scored, "query_id", "doc_id", "lexical", pool)

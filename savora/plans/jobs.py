@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from savora.functions.columns import ablate, cosine
 from savora.operators import features as ft
-from savora.operators.fit import RatingModel, fit_rating_model
+from savora.operators.fit import RatingModel, fit_rating_model, with_item_vectors
 from savora.operators.merge import merge, validate_merge
 from savora.operators.metrics import evaluate, output_profile
 from savora.operators.nearest import session_neighbours, top_k_cosine
 from savora.operators.network import read_weights, score_corpus
 from savora.operators.reviews import recipe_level
 from savora.operators.search import (
+    Index,
     bm25,
+    bm25_top,
+    postings,
     quality,
-    rank_by_mode,
     query_terms,
-    bm25_top,
+    rank_by_mode,
+    read_index,
+    write_index,
 )
 from savora.operators.split import split_exact
 from savora.operators.taste import affinity_scores, affinity_vectors, net_sentiment, tag_weights
@@ -70,6 +74,7 @@ class TrainingRun:
     metrics: DataFrame
     sizes: DataFrame
     report: DataFrame | None = None
+    predictions: DataFrame | None = None
 
 
 def train(
@@ -80,7 +85,11 @@ def train(
     report: bool = False,
     skip_scoring: bool = False,
 ) -> TrainingRun:
-    """Preprocess, split, fit, test, store the metrics and then score the corpus with the stored weights."""
+    """Preprocess, split, fit, test, store the metrics and the model, and then score the corpus with it.
+
+    The stored predictions are ``recipe_id, recipe_name, target, prediction, embedding``; the last are the
+    item vectors. :func:`score` is for the stored weights of a network.
+    """
     table = preprocess(spark, settings, overwrite)
     groups = ft.feature_groups(table.columns, settings.numeric_features)
     write_mapping(ft.feature_index(table, groups), settings.feature_index_path)
@@ -102,13 +111,19 @@ def train(
         F.col("mae").alias("test_mae"),
     )
     write_metrics(metrics, settings.results_path)
+    model.save(settings.model_path)
+    predictions = None
     if not skip_scoring:
-        score(spark, settings)
+        scored = with_item_vectors(model.predict(rows), settings.hidden_dim)
+        columns = ("recipe_id", F.col("name").alias("recipe_name"), "target", "prediction", "embedding")
+        write_table(scored.select(*columns), settings.predictions_path)
+        predictions = spark.read.parquet(settings.predictions_path)
     return TrainingRun(
         model,
         metrics,
         parts.groupBy("split").agg(F.count("*").alias("n")),
         ft.feature_report(table) if report else None,
+        predictions,
     )
 
 
@@ -118,7 +133,7 @@ def score(
     weights_path: str | None = None,
     head: str | None = None,
     output_path: str | None = None,
-    batch_size: int = 1024,
+    batch_size: int | None = None,
     overwrite: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Score every item with stored weights and store the bundle; returns it and its profile."""
@@ -136,7 +151,7 @@ def score(
         len(groups.tag),
         head or settings.head,
         settings.hidden_dim,
-        batch_size=batch_size,
+        batch_size=batch_size or settings.batch_size,
     )
     write_table(bundle, output_path)
     stored = spark.read.parquet(output_path)
@@ -156,6 +171,12 @@ def user_profiles(
     return reviews.sparkSession.read.parquet(path)
 
 
+def index(items: DataFrame, settings: Settings, text: str = "text") -> None:
+    """Store the full-text index of ``recipe_id`` and ``text``, for :func:`search` to read."""
+    with scratch(items.sparkSession):
+        write_index(stage(postings(items, "recipe_id", text), "postings"), settings.index_path)
+
+
 def _item_signals(items: DataFrame, tags, polarity) -> DataFrame:
     return items.select(
         "recipe_id",
@@ -169,9 +190,9 @@ def search(
     queries: DataFrame,
     items: DataFrame,
     mode: str = "hybrid",
-    top_k: int = 10,
+    top_k: int | None = None,
     settings: Settings = Settings(),
-    index: DataFrame | None = None,
+    index: DataFrame | Index | str | None = None,
     profiles: DataFrame | None = None,
     text: str = "text",
 ) -> DataFrame:
@@ -180,8 +201,10 @@ def search(
     ``queries`` holds ``query_id, text`` and, for modes with the semantic signal, ``vector``; with
     ``user_id`` and ``profiles`` the user's affinity joins in, otherwise it is 0. ``items`` holds
     ``recipe_id, name, text, bayesian_rating, pred_*, intensity_*`` and, for the semantic signal,
-    ``embedding``. Candidates are the BM25 pool, or the nearest vectors in ``semantic`` mode.
+    ``embedding``. Candidates are the BM25 pool, or the nearest vectors in ``semantic`` mode. ``index`` are
+    postings, a stored index or its path, of which only the buckets of the queries' terms are read.
     """
+    top_k = settings.default_top_k if top_k is None else top_k
     pool = settings.candidate_pool_size
     tags = sorted(c.removeprefix("intensity_") for c in items.columns if c.startswith("intensity_"))
     if mode == "semantic":
@@ -193,7 +216,10 @@ def search(
             "query_id", F.col("doc_id").alias("recipe_id"), "lexical"
         )
     else:
-        hits = bm25_top(index, query_terms(queries), pool).select(
+        wanted = query_terms(queries)
+        if isinstance(index, str):
+            index = read_index(queries.sparkSession, index, wanted)
+        hits = bm25_top(index, wanted, pool).select(
             "query_id", F.col("doc_id").alias("recipe_id"), "lexical"
         )
     # At most ``pool`` rows per query.
@@ -229,7 +255,7 @@ def recommend(
     reviews: DataFrame,
     items: DataFrame,
     profiles: DataFrame,
-    top_k: int = 10,
+    top_k: int | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """``(user_id, rank, recipe_id, name, score)`` for a batch of users.
@@ -239,6 +265,7 @@ def recommend(
     those without a review of a known item, get the best rated items.
     ``items`` as in :func:`search`, with ``embedding``.
     """
+    top_k = settings.default_top_k if top_k is None else top_k
     tags = sorted(c.removeprefix("intensity_") for c in items.columns if c.startswith("intensity_"))
     asked = reviews.join(bounded_broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
     seeds = stage(asked.select("user_id", "recipe_id").distinct(), "seeds")

@@ -40,7 +40,7 @@ def settings(spark, tmp_path_factory):
         when = datetime(2024, 1, 1) + timedelta(days=int(rng.integers(700)))
         labels.append((str(int(rng.integers(N_ITEMS + 20))), f"u{rng.integers(50)}", when, rating, dry, float(rng.uniform()), hit, float(rng.uniform())))
     s = Settings(
-        raw_recipes_path=f"{base}/items", raw_reviews_path=f"{base}/reviews", gold_reviews_path=f"{base}/labels",
+        folder=base, raw_recipes_path=f"{base}/items", raw_reviews_path=f"{base}/reviews", gold_reviews_path=f"{base}/labels",
         recipes_path=f"{base}/search", processed_recipes_path=f"{base}/training", column_mapping_path=f"{base}/mapping",
         feature_index_path=f"{base}/index", weights_path=f"{base}/weights", embeddings_path=f"{base}/bundle",
         results_path=f"{base}/results", user_profiles_path=f"{base}/profiles", hidden_dim=8,
@@ -78,7 +78,13 @@ def test_unfinished_table_is_not_reused(spark, settings, tmp_path):
 
 
 def test_train_and_score(spark, settings):
-    run = jobs.train(spark, settings, skip_scoring=True, report=True)
+    run = jobs.train(spark, settings, report=True)
+    stored = run.predictions.orderBy("recipe_id").collect()
+    assert len(stored) == N_ITEMS and {len(r.embedding) for r in stored} == {8}
+    table = jobs.preprocess(spark, settings)
+    rows = ft.assemble(table, ft.feature_groups(table.columns))
+    again = fit.RatingModel.load(spark, settings.model_path).predict(rows).orderBy("recipe_id").collect()
+    assert [r.prediction for r in stored] == pytest.approx([r.prediction for r in again])
     assert {r.split: r.n for r in run.sizes.collect()} == {"train": 84, "val": 18, "test": 18}
     assert run.model.history.where("chosen").count() == 1
     stored = spark.read.json(settings.results_path).first()
@@ -143,6 +149,9 @@ def test_search_and_recommend(spark, settings):
         assert [(r.query_id, r["rank"]) for r in got] == [(q, n) for q in (1, 2) for n in range(1, 6)]
         assert all(a.score >= b.score for a, b in zip(got, got[1:]) if a.query_id == b.query_id)
         if mode == "lexical":
+            jobs.index(items, settings)
+            stored = jobs.search(queries, items, mode, 5, settings, index=settings.index_path)
+            assert sorted(map(str, stored.collect())) == sorted(map(str, got))
             assert [r.name for r in got if r["rank"] == 1] == ["dish 7", "dish 9"]
     # What "stray" has reviewed is in no table of items.
     strays = labels.limit(1).withColumns({"user_id": F.lit("stray"), "recipe_id": F.lit("unknown")})
