@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -29,53 +29,77 @@ class FragmentIds:
     Everything is forgotten once ``limit`` fragments are held; long ones are never held.
     """
 
-    def __init__(self, path: str, kind: str, pieces: str, fold: bool, limit: int = 400_000, longest: int = 48):
+    def __init__(
+        self, path: str, kind: str, pieces: str, fold: bool, plain: str = "", limit: int = 400_000, longest: int = 48
+    ):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")
         self.char = {b: c for c, b in byte_of_char().items()}
         self.pieces, self.fold = re.compile(pieces), fold
+        self.odd = re.compile(f"[^{plain}]") if plain else re.compile("")
         self.kind, self.limit, self.longest = kind, limit, longest
         self.known: dict[bytes, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
 
     def __call__(self, fragments: list[bytes]) -> list[bytes]:
-        found = list(map(self.known.get, fragments))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if not missing:
-            return found
-        fresh = self._composed({fragments[i] for i in missing})
-        if len(self.known) + len(fresh) > self.limit:
-            self.known.clear()
-        self.known.update((f, ids) for f, ids in fresh.items() if len(f) <= self.longest)
-        for i in missing:
-            found[i] = fresh[fragments[i]]
+        distinct = set(fragments)
+        fresh = distinct.difference(self.known)
+        if fresh:
+            made = self._composed(fresh)
+            if len(self.known) + len(made) > self.limit:
+                self.known = {f: self.known[f] for f in distinct.difference(fresh)}
+            self.known.update(made)
+        found = list(map(self.known.__getitem__, fragments))
+        for f in fresh:
+            if len(f) > self.longest:
+                del self.known[f]
         return found
 
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose white space the tokenizer drops.
+
+        A text of ``plain`` characters alone is cut into pieces as a whole, any other into runs between white
+        space first, of which no token spans two.
+        """
+        plain = [not self.odd.search(t) and not self.added.search(t) for t in texts]
+        cuts = [self.pieces.findall(t.lower() if self.fold else t) for t, p in zip(texts, plain, strict=True) if p]
+        made = iter(self._joined(cuts))
+        runs = [[] if p else t.encode().split() for t, p in zip(texts, plain, strict=True)]
+        ids = iter(self(list(chain.from_iterable(runs))))
+        return [next(made) if p else b"".join(islice(ids, len(r))) for p, r in zip(plain, runs, strict=True)]
+
+    def _joined(self, cuts: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are cut into pieces."""
+        distinct = set().union(*cuts)
+        new = distinct.difference(self.known_pieces)
+        if len(self.known_pieces) + len(new) > self.limit:
+            self.known_pieces = {p: self.known_pieces[p] for p in distinct.difference(new)}
+        self.known_pieces.update(self._merged(new))
+        of = self.known_pieces.__getitem__
+        made = [b"".join(map(of, cut)) for cut in cuts]
+        for p in new:
+            if len(p) > self.longest:
+                del self.known_pieces[p]
+        return made
+
     def _composed(self, fragments: set[bytes]) -> dict[bytes, bytes]:
         parts: dict[bytes, list[str]] = {}
         whole: list[bytes] = []
-        findall, added, fold = self.pieces.findall, self.added, self.fold
+        findall, has_added, fold = self.pieces.findall, self.added.search, self.fold
         for f in fragments:
             text = f.decode()
             cut = findall(text)
-            if "".join(cut) != text or any(a in text for a in added):
+            if "".join(cut) != text or has_added(text):
                 whole.append(f)
             else:
                 parts[f] = [p.lower() for p in cut] if fold else cut
-        if len(self.known_pieces) > self.limit:
-            self.known_pieces.clear()
-        known = self.known_pieces
-        new = {p for cut in parts.values() for p in cut if p not in known}
-        known.update(self._merged(new))
-        made = {f: b"".join([known[p] for p in cut]) for f, cut in parts.items()}
-        for p in new:
-            if len(p) > self.longest:
-                del known[p]
+        made = dict(zip(parts, self._joined(list(parts.values())), strict=True))
         made.update(self._encoded(whole))
         return made
 
@@ -103,7 +127,7 @@ class FragmentIds:
 @lru_cache(maxsize=2)
 def word_ids(path: str, kind: str) -> FragmentIds:
     """For tokenizers that drop white space and case and split into letters, single digits and the rest."""
-    return FragmentIds(path, kind, f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", fold=True)
+    return FragmentIds(path, kind, f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", fold=True, plain=f"{LETTERS}{DIGITS}{MARKS} \\t-\\r")
 
 
 @lru_cache(maxsize=2)

@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from savora.llm.fragments import word_ids
-from savora.llm.text import flat, map_batches, prepare, texts
+from savora.llm.text import map_batches, prepare, texts
 from savora.session import stage
 
 SHARD_BYTES = 32 << 20  # of text in one file of records
+ROWS_AT_ONCE = 200
 MASK = 0xA282EAD8
 HEAD, END = 12, 5  # bytes of a record before and after its payload
 
@@ -80,13 +81,12 @@ def write_records(
     end = np.array([end_id], f"<u{width}").tobytes()
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        # Runs of text between ASCII white space, which the tokenizer drops: no token spans two of them.
-        split = [t.encode().split() for t in batch.column(1).to_pylist()]
-        ids = word_ids(tokenizer, f"<u{width}")(flat(split))
-        made, at = [], 0
-        for doc_id, runs in zip(batch.column(0).to_pylist(), split, strict=True):
-            made.append(frame(doc_id, b"".join(ids[at : at + len(runs)]) + end, width))
-            at += len(runs)
+        encode, made = word_ids(tokenizer, f"<u{width}"), []
+        # Some rows at a time, as words take more memory than their text.
+        for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(first, ROWS_AT_ONCE)
+            ids = encode.of_texts(part.column(1).to_pylist())
+            made += [frame(doc_id, i + end, width) for doc_id, i in zip(part.column(0).to_pylist(), ids, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["frame"])
 
     ordered = rows.repartitionByRange(max(1, -(-size // shard_bytes)), "doc_id").sortWithinPartitions(
