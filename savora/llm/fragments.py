@@ -124,10 +124,14 @@ class FragmentIds:
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
+# Pieces, whether case is dropped, and the characters of plain texts.
+WORD_PIECES = (f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", True, f"{LETTERS}{DIGITS}{MARKS} \\t-\\r")
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str, kind: str) -> FragmentIds:
     """For tokenizers that drop white space and case and split into letters, single digits and the rest."""
-    return FragmentIds(path, kind, f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", fold=True, plain=f"{LETTERS}{DIGITS}{MARKS} \\t-\\r")
+    return FragmentIds(path, kind, *WORD_PIECES)
 
 
 @lru_cache(maxsize=2)

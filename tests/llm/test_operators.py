@@ -1,12 +1,14 @@
 """The text operators on edge cases, against plain Python versions."""
 
+import random
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from pyspark.sql import functions as F
 
-from savora.llm import bpe, components, decontaminate, exact_dedup, factorization, licenses, minhash, records, repeats, surrogates
+from savora.llm import bpe, components, decontaminate, exact_dedup, factorization, fragments, licenses, minhash, records, repeats, surrogates
 from tests.llm import brute
 
 BASE = " ".join(f"word{i}" for i in range(60))
@@ -126,6 +128,19 @@ def test_records(spark, docs, tmp_path):
         records.unframe(content[:15] + b"\xff" + content[16:])
 
 
+def test_ids_of_texts_are_those_of_the_library():
+    t = Tokenizer.from_file(WORD)
+    odd = ["", " \t\n", "don't 'll x", "A<|endoftext|>b <|startoftext|>", "É ß ÿ İ ΑΣ", "a\x1cb\x0bc\x85d", "12 34.5%% ^^ `~ [x]\\ é€"]
+    pick = random.Random(3)
+    chars = [chr(c) for c in range(1, 0x180)] + ["<|endoftext|>", "'s"] + [" "] * 60 + list("abcdefghij'") * 10
+    odd += ["".join(pick.choices(chars, k=pick.randrange(1, 40))) for _ in range(2000)]
+    encode = fragments.FragmentIds(WORD, "<u2", *fragments.WORD_PIECES, limit=300, longest=5)
+    got = [ids for at in range(0, len(odd), 50) for ids in encode.of_texts(odd[at : at + 50])]
+    want = [e.ids for e in t.encode_batch(odd, add_special_tokens=False)]
+    assert [memoryview(ids).cast("H").tolist() if ids else [] for ids in got] == want
+    assert max(map(len, encode.known_pieces)) <= 5
+
+
 def test_surrogates(docs, empty):
     got = {r.doc_id: r for r in surrogates.with_surrogates(docs, b"key").collect()}
     assert got[13].n_entities == 4 and not any(x in got[13].text for x in ("Smith", "jo.smith", "555-7713", "169.122"))
