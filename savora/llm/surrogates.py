@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 from math import prod
@@ -25,12 +25,22 @@ GIVEN = {
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана",
 }
 GENDER_OF = {name: key for key, names in GIVEN.items() for name in names.split()}
+# Fixed: what stands before a name, by script.
 TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Sr", "Señor", "Mister"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Sra", "Señora"),
-    "": ("Dr", "Prof"),
+    "latin": "Mr Mister Herr Monsieur Sr Señor Mrs Ms Miss Frau Madame Mme Mlle Sra Señora Dr Doctor Prof Professor",
+    "cyrillic": "г-н г-на г-ну г-ном г-жа г-жи г-же г-жу г-жой господин господина господину госпожа госпожи госпоже госпожу "
+    "гражданин гражданка доктор доктора профессор профессора",
+    "greek": "κ κος κα κύριος κύριο κυρία κύριε",
 }
-TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
+# Words inside names that stay.
+PARTICLES = "van von der den de del della di da dos das du la le y ten ter zu zur bin ibn af av".split()
+# Capitalised words that end a name.
+NO_NAME = (
+    "The And But Or In On At Of For To From By With He She It They We I You His Her Its Their Our My Your This That These "
+    "Those There Then When Where Who What Which Why How If So As Is Was Were Are Has Had Not No Yes Also After Before While "
+    "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April June July August September "
+    "October November December Он Она Они Это Но И В На Как Что Когда Der Die Das Und Er Sie Le La Les Et Il Elle El Los Las"
+).split()
 
 # Letters a surrogate may put in place of one another.
 ALPHABETS = (
@@ -48,7 +58,27 @@ PLACE = {c: (a, i) for a in ALPHABETS for i, c in enumerate(a)}
 HEX = "0123456789abcdef"
 ROUNDS = 8
 
-_LETTER = r"[^\W\d_]"
+def _either(words: list[str]) -> str:
+    """A pattern for any of the words, by first letter; longer ones first."""
+    tails: dict[str, list[str]] = {}
+    for w in sorted(words, key=lambda w: (-len(w), w)):
+        tails.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items())
+
+
+_LETTER = r"(?:[^\W\d_]|[\u0300-\u036f])"
+_CAPITAL = f"[{''.join(c for c in map(chr, range(0x2000)) if c.isupper())}]"
+_GAP = r"[ \t\u00a0]{1,2}"
+_TITLE = _either([v for t in " ".join(TITLES.values()).split() for v in {t, t[0].upper() + t[1:]}])
+_GIVEN = _either([v for n in GENDER_OF for v in (n, n.upper())])
+# A capitalised word with its hyphens and apostrophes but for a possessive s, or an initial before another part.
+_PART = (
+    rf"(?!(?:{_either(NO_NAME)}|{_TITLE})(?!{_LETTER}))"
+    rf"(?:{_CAPITAL}\.(?=[ \t\u00a0]{{0,2}}{_CAPITAL})|{_CAPITAL}{_LETTER}*(?:(?!['’]s(?!{_LETTER}))['’\-]{_LETTER}+)*)"
+)
+_PARTICLES = rf"(?:(?:{_either(PARTICLES)}){_GAP}){{0,3}}"
+_NAME = rf"{_PARTICLES}{_PART}(?:(?:{_GAP}|(?<=\.)){_PARTICLES}{_PART}){{0,6}}"
+_FIRST = f"[{''.join(sorted({w[0] for w in [*GENDER_OF, *' '.join(TITLES.values()).split()]} | {w[0].upper() for w in ' '.join(TITLES.values()).split()}))}]"
 PATTERN = re.compile(
     "|".join(
         (
@@ -60,12 +90,14 @@ PATTERN = re.compile(
             r"(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)",
             r"(?<![\d+])(?P<card>\d(?:[ \-]?\d){12,18})(?!\d)",
             r"(?<!\d)(?P<phone>(?:\+\d{1,3}[ .\-]?)?\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}|\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5})(?!\d)",
-            rf"\b(?P<title>{'|'.join(TITLE_GENDER)})\.? (?P<name>(?-i:(?=[^\W\d_])[^\Wa-z\d_]{_LETTER}+(?: [^\Wa-z\d_]{_LETTER}+)?))",
+rf"\b(?={_FIRST})(?:(?:(?:{_TITLE})(?:\.{_GAP}|\.|{_GAP}))+|(?=(?:{_GIVEN})(?!{_LETTER})))(?P<name>{_NAME})",
         )
     )
 )
 # No text without any of these holds an entity.
-HINT = re.compile(rf"[@\d]|(?i:token|secret|passw|key)|\b(?:{'|'.join(TITLE_GENDER)})\.? ")
+HINT = re.compile(rf"[@\d]|(?i:token|secret|passw|key)|\b(?={_FIRST})(?:(?:{_TITLE})[. \t\u00a0]|(?:{_GIVEN})(?!{_LETTER}))")
+WORD = re.compile(rf"{_LETTER}+")
+MENTION = re.compile(rf"(?<![^\W_]){_CAPITAL}{_LETTER}+")
 
 
 class Permutation:
@@ -74,6 +106,12 @@ class Permutation:
 
     def __init__(self, key: bytes, attempt: int):
         self.key = blake2b(key + attempt.to_bytes(4, "big"), digest_size=32).digest()
+        # Each list in a keyed order, in which a name becomes the next one and so never stays itself.
+        self.given: dict[str, str] = {}
+        for names in map(str.split, GIVEN.values()):
+            order = sorted(names, key=lambda n: blake2b(n.encode(), key=self.key).digest())
+            self.given.update(zip(order, order[1:] + order[:1], strict=True))
+        self.word = lru_cache(maxsize=100_000)(self._word)
 
     def _draw(self, tweak: str, round_: int, value: int, below: int) -> int:
         text = f"{tweak}\0{round_}\0{value}".encode()
@@ -85,17 +123,47 @@ class Permutation:
 
     def numbers(self, values: list[int], sizes: list[int], tweak: str) -> list[int]:
         """A permutation of the tuples with ``0 <= value < size``."""
+        return self._rounds(values, sizes, f"{tweak}\0{sizes}", range(ROUNDS), 1)
+
+    def _rounds(self, values: list[int], sizes: list[int], tweak: str, rounds: Iterable[int], sign: int) -> list[int]:
         half = (len(sizes) + 1) // 2
-        tweak = f"{tweak}\0{sizes}"
         a, b = _packed(values[:half], sizes[:half]), _packed(values[half:], sizes[half:])
         below_a, below_b = prod(sizes[:half]), prod(sizes[half:])
-        for r in range(ROUNDS):
+        for r in rounds:
             if r % 2:
-                b = (b + self._draw(tweak, r, a, below_b)) % below_b
+                b = (b + sign * self._draw(tweak, r, a, below_b)) % below_b
             else:
-                a = (a + self._draw(tweak, r, b, below_a)) % below_a
+                a = (a + sign * self._draw(tweak, r, b, below_a)) % below_a
         return _unpacked(a, sizes[:half]) + _unpacked(b, sizes[half:])
 
+    def moved(self, values: list[int], sizes: list[int], tweak: str) -> list[int]:
+        """A permutation of the tuples that leaves none in its place: there, a step on, and back again."""
+        all_ = prod(sizes)
+        there = _packed(self.numbers(values, sizes, tweak), sizes)
+        step = 1 + self._draw(f"{tweak}\0{sizes}", ROUNDS, 0, max(1, all_ - 1))
+        return self._rounds(_unpacked((there + step) % all_, sizes), sizes, f"{tweak}\0{sizes}", range(ROUNDS)[::-1], -1)
+
+    def _word(self, word: str) -> str:
+        """A permutation of the words of names, the same for any case: listed given names within their list, others
+        among the words of their format, in any place of a name and after any title."""
+        if word in PARTICLES:
+            return word
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in word)
+        if low.capitalize() in GENDER_OF:
+            new = self.given[low.capitalize()]
+            return new.upper() if word.isupper() else new
+        places = [PLACE.get(c) for c in low]
+        sizes = [len(p[0]) for p in places if p]
+        if not sizes:
+            return word
+        values = [p[1] for p in places if p]
+        while True:
+            values = self.moved(values, sizes, "name")
+            new = iter(values)
+            made = "".join(p[0][next(new)] if p else c for c, p in zip(low, places, strict=True))
+            if made.capitalize() not in GENDER_OF:
+                return _recased(made, word)
+
     def text(self, text: str, tweak: str, alphabet: Callable[[str], tuple[str, int] | None] = PLACE.get) -> str:
         """A permutation of the strings of the same format: each character stays in its alphabet."""
         places = [alphabet(c) for c in text]
@@ -150,14 +218,33 @@ def _with_digits(like: str, digits: str, skip: int = 0) -> str:
     return "".join(out)
 
 
-def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
-    """``begin, end, kind, canonical form, gender`` of the entities, from left to right."""
+def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """``begin, end, kind, canonical form`` of the entities, from left to right.
+
+    Words of the names that a text holds are names wherever else they stand in it, before and after.
+    """
     if not HINT.search(text):
         return
+    found = list(_spelled_out(text))
+    known = {w.lower() for _, _, kind, canon in found if kind == "name" for w in WORD.findall(canon) if len(w) > 1}
+    known.difference_update(PARTICLES)
+    if known:
+        ends = iter([*found, (len(text), len(text), "", "")])
+        begin, end, *_ = next(ends)
+        bare = []
+        for m in MENTION.finditer(text):
+            while end <= m.start() and begin < len(text):
+                begin, end, *_ = next(ends)
+            if m.end() <= begin and m[0].lower() in known:
+                bare.append((m.start(), m.end(), "name", m[0]))
+        found = sorted(found + bare)
+    yield from found
+
+
+def _spelled_out(text: str) -> Iterator[tuple[int, int, str, str]]:
     for m in PATTERN.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "title" else "name"
-        found = m[kind]
-        gender = ""
+        kind = group = m.lastgroup
+        canon = found = m[kind]
         if kind == "ip" and any(int(x) > 255 for x in found.split(".")):
             continue
         if kind in ("email", "hex"):
@@ -169,21 +256,10 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             canon = re.sub(r"[^0-9A-Za-z+]", "", found)
         elif kind == "ip":
             canon = ".".join(str(int(x)) for x in found.split("."))
-        else:
-            canon = found
-            gender = TITLE_GENDER.get(m["title"], "") if kind == "name" else ""
-        yield m.start(kind if m.groupdict().get(kind) else "secret"), m.end(kind if m.groupdict().get(kind) else "secret"), kind, canon, gender
-
-
-def _given(p: Permutation, name: str, gender: str) -> str:
-    key = GENDER_OF.get(name)
-    if key:
-        names = GIVEN[key].split()
-        return names[p.numbers([names.index(name)], [len(names)], f"given {key}")[0]]
-    return p.walk(name, f"given {gender}", lambda t: t not in GENDER_OF)
+        yield m.start(group), m.end(group), kind, canon
 
 
-def surrogate(p: Permutation, kind: str, canon: str, gender: str = "") -> str:
+def surrogate(p: Permutation, kind: str, canon: str) -> str:
     """The canonical surrogate of an entity in canonical form; no two of a kind have the same."""
     if kind == "email":
         local, _, domain = canon.partition("@")
@@ -205,9 +281,7 @@ def surrogate(p: Permutation, kind: str, canon: str, gender: str = "") -> str:
     if kind == "iban":
         return canon[:2] + p.text(canon[2:], "iban")
     if kind == "name":
-        given, _, family = canon.rpartition(" ")
-        family = p.walk(family, "family", lambda t: t not in GENDER_OF) if family not in GENDER_OF else _given(p, family, gender)
-        return f"{_given(p, given, gender)} {family}" if given else family
+        return WORD.sub(lambda m: p.word(m[0]), canon)
     return p.text(canon, kind)
 
 
@@ -223,8 +297,8 @@ def shaped(new: str, kind: str, found: str) -> str:
 
 def replaced(text: str, p: Permutation) -> tuple[str, int]:
     out, at, n = [], 0, 0
-    for begin, end, kind, canon, gender in entities(text):
-        out += [text[at:begin], shaped(surrogate(p, kind, canon, gender), kind, text[begin:end])]
+    for begin, end, kind, canon in entities(text):
+        out += [text[at:begin], shaped(surrogate(p, kind, canon), kind, text[begin:end])]
         at, n = end, n + 1
     return "".join([*out, text[at:]]) if n else text, n
 
@@ -235,16 +309,16 @@ def _permutation(key: bytes, attempt: int) -> Permutation:
 
 
 def entity_table(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``kind, entity, gender, n``: the distinct entities of all texts and how often each occurs."""
+    """``kind, entity, n``: the distinct entities of all texts and how often each occurs."""
     prepare(docs.sparkSession)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(k, c, g) for t in batch.column(0).to_pylist() if t for _, _, k, c, g in entities(t)]
-        columns = zip(*found, strict=True) if found else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["kind", "entity", "gender"])
+        found = [(k, c) for t in batch.column(0).to_pylist() if t for _, _, k, c in entities(t)]
+        columns = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["kind", "entity"])
 
-    rows = map_batches(docs.select(docs[text_col].cast("string")), make, "kind string, entity string, gender string")
-    return rows.groupBy("kind", "entity", "gender").agg(F.count("*").alias("n"))
+    rows = map_batches(docs.select(docs[text_col].cast("string")), make, "kind string, entity string")
+    return rows.groupBy("kind", "entity").agg(F.count("*").alias("n"))
 
 
 def collisions(table: DataFrame, key: bytes, attempt: int) -> DataFrame:
@@ -255,7 +329,7 @@ def collisions(table: DataFrame, key: bytes, attempt: int) -> DataFrame:
         made = [surrogate(p, *row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made)], ["kind", "entity", "surrogate"])
 
-    made = map_batches(table.select("kind", "entity", "gender"), make, "kind string, entity string, surrogate string")
+    made = map_batches(table.select("kind", "entity"), make, "kind string, entity string, surrogate string")
     # An entity without a character to replace has no other form.
     same = (F.col("entity") == F.col("surrogate")) & F.col("entity").rlike("[0-9A-Za-z]{4}")
     return made.distinct().groupBy("kind", "surrogate").agg(
@@ -270,8 +344,10 @@ def with_surrogates(
     """``docs`` with the entities of each text replaced, and their number in ``count_col``.
 
     Entities are e-mail and IP addresses, phone, card, account and social security numbers, secrets, and
-    names after a title. The same entity always gets the same surrogate under a key, whatever its case and
-    separators; a given name keeps its gender and script, all else its format. Distinct entities have
+    names: those after a title, those that begin with a listed given name, and the words of both wherever else
+    they stand in the text. Names of other given names without a title anywhere in the text, and inflected forms, are
+    not recognised. The same entity always gets the same surrogate under a key, whatever its case and separators, and
+    so does each word of a name; a listed given name keeps its gender and script, all else its format. Distinct entities have
     distinct surrogates: these are permutations, and the entities of all documents are checked for any two
     that share one, or any that stays itself, in which case the next permutation is tried. All rows and columns
     pass through, ``length_col`` (if there is one) is set to the new length of changed texts. A null text

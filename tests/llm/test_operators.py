@@ -152,6 +152,32 @@ def test_surrogates(docs, empty):
     assert surrogates.with_surrogates(empty, b"key").count() == 0
 
 
+@pytest.mark.parametrize("text,left,n", [
+    ("Mr John Smith came. Smith said so, and John left.", ("John", "Smith"), 3),
+    ("Mr John F. Kennedy, Mr John Paul Jones and Mr O'Brien", ("John", "F", "Kennedy", "Paul", "Jones", "O", "Brien"), 3),
+    ("So Mary Miller-Stone wrote; MILLER too. Prof. Dr. Hans van der Berg's car", ("Mary", "Miller", "Stone", "MILLER", "Hans", "Berg"), 3),
+    ("Вчера Иван Петрович Сидоров и г-жа Круглова пришли, Сидоров ушёл", ("Иван", "Петрович", "Сидоров", "Круглова"), 3),
+    ("Η κυρία Παπαδοπούλου", ("Παπαδοπούλου",), 1),
+])
+def test_whole_names_and_mentions(text, left, n):
+    for key in range(20):
+        new, count = surrogates.replaced(text, surrogates.Permutation(b"key", key))
+        now, was = (surrogates.WORD.findall(x) for x in (new, text))
+        assert count == n and all((a == b) == (b not in left) for a, b in zip(now, was, strict=True))
+
+
+def test_one_surrogate_for_one_person():
+    new, _ = surrogates.replaced("Ms Priya Patel. Dr Priya Patel, PATEL, Mr Patel", surrogates.Permutation(b"key", 0))
+    ms, priya, patel, dr, again, patel2, caps, mr, patel3 = new.replace(".", "").replace(",", "").split()
+    assert priya == again and patel == patel2 == patel3 and caps == patel.upper()
+    p = surrogates.Permutation(b"key", 1)
+    pairs = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    made = [p.word(x) for x in pairs]
+    assert set(made) == set(pairs) and all(x != y for x, y in zip(pairs, made, strict=True))
+    for names in surrogates.GIVEN.values():
+        assert {p.word(x) for x in names.split()} == set(names.split()) and all(p.word(x) != x for x in names.split())
+
+
 def test_licenses(docs, empty):
     got = licenses.license_notices(docs).collect()
     # The line itself, and the paragraph that holds it and begins a line before.
