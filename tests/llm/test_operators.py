@@ -187,6 +187,27 @@ def test_licenses(docs, empty):
     assert licenses.license_notices(empty).count() == 0
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+ISC_TEXT = """# Permission to use, copy, modify, and/or distribute this software for any
+# purpose with or without fee is hereby granted, provided that the above
+# copyright notice and this permission notice appear in all copies."""
+
+
+def test_paragraphs_of_licence_texts(spark):
+    df = spark.createDataFrame([(1, MIT_TEXT), (2, ISC_TEXT), (3, MIT_TEXT.replace("\n\n", " ").replace("\n", " "))], "doc_id long, text string")
+    got = {(r.doc_id, r.line): (r.license, r.dice) for r in licenses.license_notices(df).collect()}
+    assert got[1, 1] == ("MIT", 1.0) and got[1, 8] == ("MIT", 1.0) and got[2, 1] == ("ISC", 1.0)
+    assert got[3, 1][0] == "MIT"
+
+
 def test_factorization(spark, empty):
     texts = [(i, f"common words {'awful' if i % 2 else 'lovely'} number{i}", i % 2) for i in range(80)]
     df = spark.createDataFrame(texts, "doc_id long, text string, label int")
