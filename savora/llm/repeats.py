@@ -213,8 +213,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     )
     if asked.count() * DIGEST_BYTES <= BROADCAST_BYTES:
         rows = rows.join(F.broadcast(asked.select("key")), "key", "left_semi")
-    # Of equal texts one serves.
-    joined = rows.join(asked, "key").select("key", "text", "parts")
+    # Of equal texts one serves; combined before the shuffle, so that copies do not meet in one task.
+    joined = rows.dropDuplicates(["key"]).join(asked, "key").select("key", "text", "parts")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
@@ -285,7 +285,7 @@ def _count_windows(segments: DataFrame, length: int) -> DataFrame:
     each = stage(map_batches(segments, make, f"{SEGMENT}, window long, hash binary"), "windows")
     often = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     run = F.struct(F.col("window").alias("begin"), (F.col("window") + 1).alias("end"))
-    return each.join(often, "hash").groupBy("anchor", "content", "windows").agg(F.collect_list(run).alias("runs"))
+    return each.join(often, "hash").groupBy("anchor", "content", "windows").agg(F.collect_set(run).alias("runs"))
 
 
 def repeated_spans(

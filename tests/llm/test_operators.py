@@ -87,6 +87,17 @@ def test_repeats(docs, empty, hot):
     assert repeats.without_repeats(empty, 20).count() == 0
 
 
+def test_segments_come_once_from_copies(spark):
+    texts = spark.createDataFrame([(bytes([i % 2]), "abcdefgh" * (1 + i % 2)) for i in range(40)], "key binary, text string").repartition(4)
+    wanted = spark.createDataFrame(
+        [(1, 2, 3, (b"\0", 1)), (1, 5, 2, (b"\1", 8))], "anchor long, content long, windows long, at struct<key:binary,start:long>"
+    )
+    got = repeats._fetch(texts, wanted, 4)
+    assert rows(got, "anchor", "content", "windows", "bytes") == [(1, 2, 3, b"bcdefg"), (1, 5, 2, b"abcde")]
+    flagged = repeats._count_windows(got.unionByName(got), 2)
+    assert all(len(r.runs) == r.windows + 2 for r in flagged.collect())
+
+
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
 def test_near_groups(docs, empty, size, percent):
     near = minhash.Near(size, percent)
