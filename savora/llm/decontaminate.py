@@ -144,8 +144,8 @@ def _automaton(items: tuple, window: int) -> Automaton:
     return Automaton([(item, seq.split(b" ")) for item, seq in items], window)
 
 
-def _blocks(items: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> list[tuple]:
-    """The items' words, block by block; a block goes to the workers, which build its automaton."""
+def _blocks(items: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, int]:
+    """``block, item, words`` of the items' pieces, stored in order of the block, and the number of blocks."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -164,10 +164,14 @@ def _blocks(items: DataFrame, window: int, id_col: str, text_col: str, block_wor
     total = pieces.agg(F.sum("n").alias("n")).first()["n"] or 0
     count = max(1, -(-total // block_words))
     block = F.pmod(F.xxhash64("item", "at"), F.lit(count))
-    return [
-        tuple((r["item"], bytes(r["words"])) for r in pieces.where(block == b).select("item", "words").collect())
-        for b in range(count)
-    ]
+    numbered = pieces.select(block.alias("block"), "item", "words").sortWithinPartitions("block")
+    return stage(numbered, "blocks"), count
+
+
+def _block(pieces: DataFrame, number: int) -> tuple:
+    """One block; it goes to the workers, which build its automaton."""
+    rows = pieces.where(F.col("block") == number).select("item", "words").collect()
+    return tuple((r["item"], bytes(r["words"])) for r in rows)
 
 
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -180,17 +184,19 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(df: DataFrame, text_col: str, blocks: list[tuple], window: int, finish, schema) -> DataFrame:
+def _scan(df: DataFrame, text_col: str, blocks: tuple[DataFrame, int], window: int, finish, schema) -> DataFrame:
     """``finish(batch, found)`` on every batch of ``df``; ``found`` has words, spans and items of each row.
 
-    One block at a time is in the workers' memory; between blocks the rows are stored with what was found.
+    One block at a time is in the memory of the driver and the workers; between blocks the rows are stored with what
+    was found.
     """
     spark = df.sparkSession
     text_at = df.columns.index(text_col)
     carried = StructType([*df.schema.fields, StructField("__spans", ARRAY), StructField("__items", NAMES)])
-    for k, block in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(block)
-        first, last = k == 0, k == len(blocks) - 1
+    pieces, count = blocks
+    for k in range(count):
+        sent = spark.sparkContext.broadcast(_block(pieces, k))
+        first, last = k == 0, k == count - 1
 
         def make(batch: pa.RecordBatch, sent=sent, first=first, last=last) -> pa.RecordBatch:
             automaton = _automaton(sent.value, window)
@@ -214,6 +220,7 @@ def _scan(df: DataFrame, text_col: str, blocks: list[tuple], window: int, finish
         df = map_batches(df, make, schema if last else carried)
         if not last:
             df = stage(df, "scanned")
+            sent.destroy()
     return df
 
 

@@ -62,6 +62,15 @@ def test_overlaps(spark, docs, empty, block_words):
     assert 8 not in cut and "word10" not in cut[0] and cut[0].startswith("word0 ") and cut[4] is None
 
 
+def test_blocks_are_collected_one_after_the_other(spark, docs, monkeypatch):
+    steps, stage, block = [], decontaminate.stage, decontaminate._block
+    monkeypatch.setattr(decontaminate, "stage", lambda df, label: steps.append(label) or stage(df, label))
+    monkeypatch.setattr(decontaminate, "_block", lambda pieces, k: steps.append(k) or block(pieces, k))
+    decontaminate.overlaps(docs, spark.createDataFrame(ITEMS, "item_id long, text string"), block_words=8).collect()
+    count = steps[-1] + 1
+    assert count > 1 and steps == ["blocks", *(s for k in range(count) for s in (k, "scanned"))][:-1]
+
+
 @pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda norm: F.substring(F.md5(norm), 1, 1)])
 def test_exact_groups(docs, empty, digest):
     got = exact_dedup.exact_groups(docs, digest=digest)
