@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from savora.session import stage
-from savora.llm.text import WORD_BYTES, map_batches, prepare, texts, words
+from savora.llm.text import WORD_BYTES, map_batches, prepare, remembered, texts, words
 
 # Words of items in one automaton, about 100 bytes of memory each in every Python worker. More items
 # make further blocks, each a pass over the documents.
@@ -139,7 +138,7 @@ class Automaton:
         return spans, found
 
 
-@lru_cache(maxsize=1)
+@remembered("decontaminate")
 def _automaton(items: tuple, window: int) -> Automaton:
     return Automaton([(item, seq.split(b" ")) for item, seq in items], window)
 

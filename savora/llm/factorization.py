@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from savora.llm.text import WordHashes, flat, lists, map_batches, prepare, words
+from savora.llm.text import WordHashes, flat, lists, map_batches, prepare, remembered, words
 
 # Bytes by kind; everything else (letters, what is beyond ASCII) is not counted.
 KINDS = {
@@ -60,7 +59,7 @@ class Machine:
     v: np.ndarray
 
 
-@lru_cache(maxsize=1)
+@remembered("factorization")
 def _hashes() -> WordHashes:
     return WordHashes()
 

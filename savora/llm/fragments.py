@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
 
+from savora.llm.text import remembered
+
 # Letters of Latin-1 (they have no other composed form), digits, and visible ASCII characters but apostrophes.
 LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!-&(-/:-@\[-`{-~"
 AT_ONCE = 10_000  # fragments handed to the library in one call, as its results are large
@@ -128,13 +129,7 @@ class FragmentIds:
 WORD_PIECES = (f"[{LETTERS}]+|[{DIGITS}]|[{MARKS}]+", True, f"{LETTERS}{DIGITS}{MARKS} \\t-\\r")
 
 
-@lru_cache(maxsize=2)
+@remembered("records", 2)
 def word_ids(path: str, kind: str) -> FragmentIds:
     """For tokenizers that drop white space and case and split into letters, single digits and the rest."""
     return FragmentIds(path, kind, *WORD_PIECES)
-
-
-@lru_cache(maxsize=2)
-def byte_ids(path: str, kind: str) -> FragmentIds:
-    """For byte-level tokenizers that split into letters, digits and the rest, each with the space before."""
-    return FragmentIds(path, kind, f" ?[{LETTERS}]+| ?[{DIGITS}]+| ?[{MARKS}]+", fold=False)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from savora.llm.components import components
 from savora.llm.exact_dedup import BROADCAST_BYTES, DIGEST_BYTES, without_rows
-from savora.llm.text import LOWER, WordHashes, map_batches, mix, texts
+from savora.llm.text import LOWER, WordHashes, map_batches, mix, remembered, texts
 from savora.session import stage
 
 MINIMA, BITS = 128, 2
@@ -55,7 +55,7 @@ FACTORS = _random.integers(0, 1 << 63, FINE, dtype=np.uint64) * np.uint64(2) + n
 OFFSETS = _random.integers(0, 1 << 63, FINE, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
+@remembered("minhash")
 def _hashes() -> WordHashes:
     return WordHashes()
 

@@ -118,7 +118,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    coded = bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

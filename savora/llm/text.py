@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -43,19 +44,58 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``make`` on every non-empty Arrow batch."""
+_memories: list[tuple[str, Callable[[], None]]] = []
+
+
+def remembered(owner: str, maxsize: int = 1) -> Callable:
+    """``lru_cache`` for what Python workers keep between tasks of the module ``owner``."""
+
+    def wrap(function: Callable) -> Callable:
+        cached = lru_cache(maxsize)(function)
+        _memories.append((owner, cached.cache_clear))
+        return cached
+
+    return wrap
+
+
+def forget_others(owner: str) -> None:
+    """Workers are used again by later stages; each keeps the memory of one operator at a time."""
+    for name, clear in _memories:
+        if name != owner:
+            clear()
+
+
+def map_batches(
+    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch] | None], schema: str
+) -> DataFrame:
+    """``make`` on every non-empty Arrow batch; it returns a batch, or yields several."""
+    owner = make.__module__.rpartition(".")[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(owner)
         for batch in batches:
             if batch.num_rows:
                 made = make(batch)
-                if made is not None and made.num_rows:
-                    yield made
+                for part in [made] if made is None or isinstance(made, pa.RecordBatch) else made:
+                    if part is not None and part.num_rows:
+                        yield part
 
     return df.mapInArrow(run, schema)
 
 
+def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows of ``most`` bytes in all, or of one row that is longer."""
+    begin = end = total = 0
+    for size in sizes:
+        if end > begin and total + size > most:
+            yield begin, end
+            begin, total = end, 0
+        end += 1
+        total += size
+    if end > begin:
+        yield begin, end
+
+
 def words(text: str) -> list[bytes]:
     """Runs of digits, a-z (A-Z lower-cased) and anything beyond ASCII."""
     return text.encode().translate(WORD_BYTES).split()

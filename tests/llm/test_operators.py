@@ -128,6 +128,22 @@ def test_bpe(docs, empty):
     assert {d: r.ids for d, r in got.items()} == want
     assert {d: r.text for d, r in got.items()} == {d: t.decode(i, skip_special_tokens=False) for d, i in want.items()}
     assert bpe.encode(empty, BYTE).count() == 0
+    assert {r.doc_id: (r.ids, r.text) for r in bpe.round_trip(docs, BYTE).collect()} == {d: (r.ids, r.text) for d, r in got.items()}
+    odd = docs.select(F.lit(None).cast("long").alias("doc_id"), F.array(F.lit(-1), F.lit(10**6), F.lit(15496)).alias("ids")).limit(1)
+    assert [r.text for r in bpe.decode(odd, BYTE).collect()] == ["Hello"]
+
+
+@pytest.mark.parametrize("held", [96 << 20, 2000])
+def test_byte_level_ids_of_texts_are_those_of_the_library(held):
+    t = Tokenizer.from_file(BYTE)
+    pick = random.Random(5)
+    chars = [chr(c) for c in range(0, 0x180)] + ["<|endoftext|>", "'s", "\u3000", "\u2028", "\xa0", "中文", "😀", "e\u0301"] + [" ", "\n"] * 40 + list("abqzxj'") * 10
+    odd = ["", "a" * 100_000, "zq " * 50_000] + ["".join(pick.choices(chars, k=pick.randrange(1, 60))) for _ in range(3000)]
+    encoder = bpe.Encoder(BYTE, held)
+    got = [i.tolist() for a in range(0, len(odd), 100) for i in encoder.texts([x.encode() for x in odd[a : a + 100]])]
+    assert got == [e.ids for e in t.encode_batch(odd, add_special_tokens=False)]
+    assert max(map(len, encoder.known)) <= bpe.LONGEST
+    assert encoder.held == sum(bpe.ENTRY_BYTES + len(f) + len(i) for f, i in encoder.known.items())
 
 
 def test_records(spark, docs, tmp_path):
