@@ -35,7 +35,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, text_sha256``; the digest is that of the decoded text."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    coded = bpe.round_trip(docs, vocabulary)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("text_sha256"))
 
 
