@@ -18,6 +18,8 @@ from savora.llm import (
     minhash,
     records,
     repeats,
+    runs,
+    simhash,
     surrogates,
 )
 from savora.llm.text import prepare
@@ -127,6 +129,39 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in two bits or fewer."""
+    groups = simhash.close_groups(_table(spark, sf_dir, "documents"), words=3, blocks=simhash.Blocks(distance=2))
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, one document in ten made periodic from some word on."""
+    docs = _table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    periodic = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    text = F.when((h % 10 == 0) & (n > 0), periodic).otherwise(F.col("text"))
+    found = runs.word_runs(docs.select("doc_id", text.alias("text")), least=12)
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-first["start"]).alias("start"),
+        first["length"].alias("length"),
+        (-first["period"]).alias("period"),
+        F.floor(1000 * first["length"] / (-first["period"])).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of the corpus pipeline, one after the other."""
     return corpus_pipeline.run(prepare(spark), sf_dir)
@@ -143,5 +178,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_minhash": op9_minhash,
     "op10_bpe": op10_bpe,
+    "op11_simhash": op11_simhash,
+    "op12_runs": op12_runs,
     "pipeline": pipeline,
 }

@@ -8,6 +8,8 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -104,3 +106,72 @@ def crc_ids(ids):
 def license_sizes(text):
     w = re.findall("[a-z0-9]+", text.translate(LOWER))
     return {tuple(w)} if len(w) == 1 else set(zip(w, w[1:]))
+
+
+def simhash(docs, size=3, distance=2):
+    """Rows (id, fingerprint, component), comparing all pairs."""
+    prints = []
+    for _, text in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        n = min(size, len(w))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + n]), 42) for i in range(len(w) - n + 1)] if w else []
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)))
+    ids = [d for d, _ in docs]
+    root = {d: d for d in ids if d is not None}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, x in enumerate(prints):
+        for j in range(i):
+            if ids[i] is not None and ids[j] is not None and (x ^ prints[j]).bit_count() <= distance:
+                a, b = find(ids[i]), find(ids[j])
+                root[max(a, b)] = min(a, b)
+    return [(d, f"{x:016x}", None if d is None else find(d)) for d, x in zip(ids, prints, strict=True)]
+
+
+def periodic(doc_id, text):
+    """The words of the text, from some word on periodic for one id in ten."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    return w
+
+
+def runs(w, least=12):
+    """Every (start, length, period), by trying all periods at all places."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            length = j + q - i
+            if j > i and length >= max(least, 2 * q):
+                found.setdefault((i, length), q)
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def collapsed(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def op12(docs):
+    out = []
+    for doc_id, text in docs:
+        w = periodic(doc_id, text)
+        found = runs(w)
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None, None, None))
+        milli = None if best[0] is None else 1000 * best[1] // best[2]
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        out.append((doc_id, len(found), *best, milli, sha(lines), sha(collapsed(w, found))))
+    return out
