@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from savora.llm import (
+    alignment,
     bpe,
     decontaminate,
     exact_dedup,
@@ -162,6 +163,12 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by two tokenizers and aligned, with corpus-wide counts of linked ids."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.link_statistics(_table(spark, sf_dir, "documents"), *paths)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of the corpus pipeline, one after the other."""
     return corpus_pipeline.run(prepare(spark), sf_dir)
@@ -180,5 +187,6 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_simhash": op11_simhash,
     "op12_runs": op12_runs,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }

@@ -175,3 +175,58 @@ def op12(docs):
         lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
         out.append((doc_id, len(found), *best, milli, sha(lines), sha(collapsed(w, found))))
     return out
+
+
+def aligned(text, byte_tokenizer, piece_processor):
+    """Token ids of A and B and the groups of both, from encoding the whole text; None without tokens."""
+    byte_of = {c: b for b, c in _byte_level().items()}
+    raw = f" {text}".encode()
+    a = byte_tokenizer.encode(f" {text}", add_special_tokens=False).ids if text else []
+    b = piece_processor.encode(text) if text else []
+    parts_a = [bytes(byte_of[c] for c in byte_tokenizer.id_to_token(i)) for i in a]
+    pieces = [piece_processor.id_to_piece(i) for i in b]
+    parts_b = [bytes([int(p[3:5], 16)]) if piece_processor.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in zip(b, pieces)]
+    if not text or b"".join(parts_a) != raw or b"".join(parts_b) != raw:
+        return None
+    groups, x, y, at_a, at_b = [], [], [], 0, 0
+    rest = list(zip(b, parts_b, strict=True))
+    for i, part in zip(a, parts_a, strict=True):
+        at_a += len(part)
+        x.append(i)
+        while rest and at_b + len(rest[0][1]) <= at_a:
+            j, piece = rest.pop(0)
+            at_b += len(piece)
+            y.append(j)
+        if at_a == at_b:
+            groups.append((x, y))
+            x, y = [], []
+        elif rest and at_b < at_a:
+            j, piece = rest.pop(0)
+            at_b += len(piece)
+            y.append(j)
+    return a, b, groups
+
+
+def _byte_level():
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = sorted(set(range(256)) - set(plain))
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def op13(docs, byte_tokenizer, piece_processor):
+    made = [aligned(t, byte_tokenizer, piece_processor) for _, t in docs]
+    links = [Counter((i, j) for x, y in m[2] for i in x for j in y) if m else Counter() for m in made]
+    count = Counter(pair for found in links for pair in found)
+    most = Counter()
+    for (i, _), n in count.items():
+        most[i] = max(most[i], n)
+    out = []
+    for (doc_id, _), m, found in zip(docs, made, links, strict=True):
+        if not m:
+            out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in m[2])
+        best = sum(n for pair, n in found.items() if count[pair] == most[pair[0]])
+        sums = sum(n * count[pair] for pair, n in found.items())
+        out.append((doc_id, len(m[0]), len(m[1]), len(m[2]), sum(found.values()), best, sums, sha(text)))
+    return out
