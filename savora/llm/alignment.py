@@ -9,11 +9,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain
-from typing import NamedTuple
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +23,7 @@ from savora.llm.text import forget_others, map_batches, remembered, slices, text
 from savora.session import stage
 
 SLICE_BYTES = 1 << 20  # of texts worked on at once
-HELD = 200_000  # fragments that a worker remembers
+HELD = 300_000  # fragments that a worker remembers
 LONGEST = 48  # characters of a fragment that is remembered
 COMBINED = 1 << 21  # links counted in a task before they are combined
 # Counts of so many links, the most frequent ones, go to all workers; the counts of others are joined.
@@ -36,33 +33,74 @@ FREQUENT = 1_000_000
 CUT = re.compile(r"(?<=[^\s▁])(?=[ \n].)", re.DOTALL)
 
 
-def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """The ranks in ``a`` and in ``b``, ascending without repeats, of what is in both."""
-    if len(b) < len(a):
-        return [(i, j) for j, i in common_ends(b, a)]
-    found, at, size = [], 0, len(b)
-    for rank, end in enumerate(a):
-        reach = 1
-        while at + reach < size and b[at + reach] < end:
-            reach *= 2
-        at = bisect_left(b, end, at + reach // 2, min(size, at + reach + 1))
-        if at == size:
-            break
-        if b[at] == end:
-            found.append((rank, at))
-    return found
+def common_ends(short: np.ndarray, long: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranks in ``short`` and in ``long``, both ascending, of what is in both.
 
-
-class Fragment(NamedTuple):
-    """What a stretch of text between two sure cuts adds to its text."""
-
-    sizes: bytes  # tokens of A, of B, groups, links, distinct links, as 64-bit numbers; the first is -1 if bytes differ
-    groups: str
-    links: bytes  # distinct links and how often each occurs, as pairs of 64-bit numbers
+    Each member of ``short`` gallops through ``long`` from its ``start``, a rank at or before its own: in steps
+    of 1, 2, 4, ... until it is reached, and then by halving the last step. All of them do so side by side.
+    """
+    if not len(short) or not len(long):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    last = len(long) - 1
+    low, step = np.minimum(start, last), np.ones(len(short), np.int64)
+    going = np.flatnonzero(long[low] < short)
+    while len(going):
+        ahead = np.minimum(low[going] + step[going], last)
+        less = (long[ahead] < short[going]) & (ahead < last)
+        going = going[less]
+        low[going] = ahead[less]
+        step[going] *= 2
+    # What is looked for stands at ``low`` or up to ``step`` behind it.
+    high = np.minimum(low + step, last)
+    going = np.flatnonzero(low < high)
+    while len(going):
+        middle = (low[going] + high[going]) // 2
+        less = long[middle] < short[going]
+        low[going] = np.where(less, middle + 1, low[going])
+        high[going] = np.where(less, high[going], middle)
+        going = going[low[going] < high[going]]
+    found = np.flatnonzero(long[low] == short)
+    return found, low[found]
+
+
+class Tokens:
+    """The tokens of many fragments in a row: ids, bytes, and where each fragment's begin."""
+
+    def __init__(self, ids: list[list[int]], size: np.ndarray, start: np.ndarray, flat: np.ndarray):
+        self.first = np.cumsum([0, *map(len, ids)])
+        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, self.first[-1])
+        self.size = size[self.ids]
+        ends = np.cumsum(self.size)
+        self.bytes = flat[np.arange(self.size.sum()) + np.repeat(start[self.ids] - ends + self.size, self.size)].tobytes()
+        self.byte = np.concatenate(([0], ends))[self.first]
+
+    def spell(self, raw: list[bytes]) -> np.ndarray:
+        at = self.byte.tolist()
+        return np.fromiter((self.bytes[a:b] == r for a, b, r in zip(at, at[1:], raw)), bool, len(raw))
+
+
+def _named(n: int, mark: str) -> np.ndarray:
+    out = np.empty(n, object)
+    out[:] = [f"{i}{mark}" for i in range(n)]
+    return out
+
+
+def _slices_of(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges that begin at ``starts``, one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
+NUMBERS = 5  # tokens of A (-1 if the bytes differ), of B, groups, links, distinct links
+# A group with more pairs of tokens than this is counted by its distinct ids.
+PAIRS_OF_GROUP = 64
 
 
 class Aligner:
-    """Aligned fragments, remembered; everything is forgotten once ``held`` are."""
+    """Aligned fragments, remembered; everything is forgotten once ``held`` are.
+
+    A fragment is kept as the text of its groups, each with a semicolon behind it, and as 64-bit numbers: ``NUMBERS``
+    of them, and then its distinct links and how often each occurs.
+    """
 
     def __init__(self, byte_path: str, piece_path: str, held: int = HELD):
         import sentencepiece
@@ -75,81 +113,134 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         v = Vocabulary(byte_path)
-        self.bytes_a = [v.flat[s : s + n].tobytes() for s, n in zip(v.start.tolist(), v.size.tolist(), strict=True)]
-        self.bytes_b = []
+        self.table_a = v.size, v.start, v.flat
+        pieces = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+            pieces.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        size = np.array([len(p) for p in pieces])
+        self.table_b = size, np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
         self.blank = self.b.piece_to_id("▁")
-        self.width = len(self.bytes_b)  # a link is A's id times this plus B's
-        self.known: dict[str, Fragment] = {}
+        self.width = len(pieces)  # a link is A's id times this plus B's
+        self.names_a = [_named(len(v.size), mark) for mark in ",|"]
+        self.names_b = [_named(self.width, mark) for mark in ",;"]
+        self.known: dict[str, tuple[str, bytes]] = {}
         self.held = held
 
-    def fragments(self, parts: list[str]) -> list[Fragment]:
-        distinct = set(parts)
-        fresh = list(distinct.difference(self.known))
+    def fragments(self, distinct: list[str]) -> list[tuple[str, bytes]]:
+        fresh = [p for p in distinct if p not in self.known]
         if len(self.known) + len(fresh) > self.held:
-            self.known = {p: self.known[p] for p in distinct.difference(fresh)}
-        ids_a = [e.ids for e in self.a.encode_batch_fast(fresh, add_special_tokens=False)]
-        # The library puts a space before each text.
-        ids_b = self.b.encode([p[1:] if p[0] == " " else p for p in fresh], num_threads=1)
-        for p, a, b in zip(fresh, ids_a, ids_b, strict=True):
-            if p[0] != " ":
-                b = b[1:] if b[0] == self.blank else []
-            self.known[p] = self._aligned(p, a, b)
-        found = list(map(self.known.__getitem__, parts))
+            new = set(fresh)
+            self.known = {p: self.known[p] for p in distinct if p not in new}
+        self.known.update(zip(fresh, self._aligned(fresh), strict=True))
+        found = list(map(self.known.__getitem__, distinct))
         for p in fresh:
             if len(p) > LONGEST:
                 del self.known[p]
         return found
 
-    def _aligned(self, part: str, a: list[int], b: list[int]) -> Fragment:
-        raw = part.encode()
-        token_a, token_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(token_a) != raw or b"".join(token_b) != raw:
-            return Fragment(np.array([-1, 0, 0, 0, 0]).tobytes(), "", b"")
-        common = common_ends(list(accumulate(map(len, token_a))), list(accumulate(map(len, token_b))))
-        groups, links, width = [], Counter(), self.width
-        first_a = first_b = total = 0
-        for rank_a, rank_b in common:
-            x, y = a[first_a : rank_a + 1], b[first_b : rank_b + 1]
-            first_a, first_b = rank_a + 1, rank_b + 1
-            groups.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            total += len(x) * len(y)
-            if len(x) * len(y) < 64:
-                links.update([i * width + j for i in x for j in y])
-            else:
-                times_y = Counter(y)
-                for i, n in Counter(x).items():
-                    links.update({i * width + j: n * m for j, m in times_y.items()})
-        sizes = np.array([len(a), len(b), len(common), total, len(links)])
-        return Fragment(sizes.tobytes(), ";".join(groups), np.array(list(links.items()), np.int64).tobytes())
+    def _aligned(self, parts: list[str]) -> list[tuple[str, bytes]]:
+        if not parts:
+            return []
+        ids_a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        # The library puts a space before each text.
+        ids_b = self.b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
+        ids_b = [b if p[0] == " " else b[1:] if b[0] == self.blank else [] for p, b in zip(parts, ids_b, strict=True)]
+        raw = [p.encode() for p in parts]
+        good = Tokens(ids_a, *self.table_a).spell(raw) & Tokens(ids_b, *self.table_b).spell(raw)
+        if not good.all():
+            ids_a, ids_b = ([x if g else [] for x, g in zip(ids, good, strict=True)] for ids in (ids_a, ids_b))
+        a, b = Tokens(ids_a, *self.table_a), Tokens(ids_b, *self.table_b)
+        # Both spell the same bytes in a row, so ends count from the first fragment, and each fragment's last one is common.
+        short, long = (a, b) if len(a.ids) <= len(b.ids) else (b, a)
+        owner = np.repeat(np.arange(len(parts)), np.diff(short.first))
+        ranks = common_ends(np.cumsum(short.size), np.cumsum(long.size), long.first[owner])
+        last_a, last_b = ranks if short is a else ranks[::-1]
+        # Differences of ranks are the tokens of a group.
+        n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        first_a, first_b = last_a - n_a + 1, last_b - n_b + 1
+        group_of = np.searchsorted(a.first, first_a, "right") - 1
+        group_at = np.searchsorted(group_of, np.arange(len(parts) + 1))
+        pairs = n_a * n_b
+
+        # The text of a group: A's tokens, then B's.
+        text = np.empty(len(a.ids) + len(b.ids), object)
+        place_a = np.arange(len(a.ids)) + np.repeat(first_b, n_a)
+        place_b = np.arange(len(b.ids)) + np.repeat(last_a + 1, n_b)
+        text[place_a] = self.names_a[0][a.ids]
+        text[place_b] = self.names_b[0][b.ids]
+        text[place_a[last_a]] = self.names_a[1][a.ids[last_a]]
+        text[place_b[last_b]] = self.names_b[1][b.ids[last_b]]
+        cut = (a.first + b.first).tolist()
+        text = text.tolist()
+        groups = ["".join(text[x:y]) for x, y in zip(cut, cut[1:])]
+
+        # Links, and how often each occurs in its fragment.
+        few = pairs <= PAIRS_OF_GROUP
+        which = np.repeat(np.flatnonzero(few), pairs[few])
+        within = _slices_of(np.zeros(few.sum(), np.int64), pairs[few])
+        link = a.ids[first_a[which] + within // n_b[which]] * self.width + b.ids[first_b[which] + within % n_b[which]]
+        frag, times = group_of[which], np.ones(len(link), np.int64)
+        for g in np.flatnonzero(~few).tolist():
+            x, times_x = np.unique(a.ids[first_a[g] : last_a[g] + 1], return_counts=True)
+            y, times_y = np.unique(b.ids[first_b[g] : last_b[g] + 1], return_counts=True)
+            link = np.concatenate((link, np.add.outer(x * self.width, y).ravel()))
+            frag = np.concatenate((frag, np.full(len(x) * len(y), group_of[g])))
+            times = np.concatenate((times, np.outer(times_x, times_y).ravel()))
+        frag, link, times = _combined(frag, link, times)
+        counts = np.bincount(frag, minlength=len(parts))
+        numbers = np.empty((len(parts), NUMBERS), np.int64)
+        numbers[:, 0] = np.where(good, np.diff(a.first), -1)
+        numbers[:, 1] = np.diff(b.first)
+        numbers[:, 2] = np.diff(group_at)
+        total = np.concatenate(([0], np.cumsum(pairs)))
+        numbers[:, 3] = total[group_at[1:]] - total[group_at[:-1]]
+        numbers[:, 4] = counts
+        packed, listed = numbers.tobytes(), np.stack((link, times), axis=1).tobytes()
+        width = 8 * NUMBERS
+        ends = (16 * np.cumsum(counts)).tolist()
+        return [
+            (g, packed[i * width : (i + 1) * width] + listed[x:y]) for i, (g, x, y) in enumerate(zip(groups, [0, *ends], ends))
+        ]
 
     def texts(self, rows: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of each text the four sizes and its groups; of all texts, the ends, links and times of distinct links."""
         cut = [CUT.split(f" {t}") if t else [] for t in rows]
         parts = list(chain.from_iterable(cut))
-        made = self.fragments(parts)
+        distinct = list(dict.fromkeys(parts))
+        number = dict(zip(distinct, range(len(distinct))))
+        made = self.fragments(distinct)
+        sizes = np.frombuffer(b"".join([data[: 8 * NUMBERS] for _, data in made]), np.int64).reshape(-1, NUMBERS)
+        own = np.frombuffer(b"".join([data[8 * NUMBERS :] for _, data in made]), np.int64).reshape(-1, 2)
+        own_at = np.cumsum(sizes[:, 4]) - sizes[:, 4]
+        part = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
         ends = np.cumsum([0, *map(len, cut)])
-        sizes = np.frombuffer(b"".join([f.sizes for f in made]), np.int64).reshape(-1, 5)
-        sums = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(sizes, axis=0)))
+        row = np.repeat(np.arange(len(rows)), np.diff(ends))
+        sums = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(sizes[part], axis=0)))
         totals = (sums[ends[1:]] - sums[ends[:-1]])[:, :4]
-        wrong = np.concatenate(([0], np.cumsum(sizes[:, 0] < 0)))
+        wrong = np.concatenate(([0], np.cumsum(sizes[part, 0] < 0)))
         good = wrong[ends[1:]] == wrong[ends[:-1]]
         totals[~good] = 0
+        texts = [made[i][0] for i in part.tolist()]
         groups = [
-            ";".join([f.groups for f in made[a:b]]) if g else "" for a, b, g in zip(ends.tolist(), ends[1:].tolist(), good)
+            "".join(texts[a:b])[:-1] if g else "" for a, b, g in zip(ends.tolist(), ends[1:].tolist(), good.tolist())
         ]
-        # Distinct links of each text.
-        row = np.repeat(np.arange(len(rows)), np.diff(ends))
-        links = np.frombuffer(b"".join([f.links for f, g in zip(made, good[row].tolist(), strict=True) if g]), np.int64)
-        links = links.reshape(-1, 2)
-        row = np.repeat(row, np.where(good[row], sizes[:, 4], 0))
-        order = np.lexsort((links[:, 0], row))
-        row, key, times = row[order], links[order, 0], links[order, 1]
-        first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=-1) != 0))
-        times = np.add.reduceat(times, first) if len(first) else times
-        return totals, groups, np.searchsorted(row[first], np.arange(len(rows) + 1)), key[first], times
+        # Distinct links of each text, from its distinct fragments.
+        row, part = row[good[row]], part[good[row]]
+        both, often = np.unique(row * max(1, len(distinct)) + part, return_counts=True)
+        row, part = both // max(1, len(distinct)), both % max(1, len(distinct))
+        n = sizes[part, 4]
+        at = _slices_of(own_at[part], n)
+        row, key, times = _combined(np.repeat(row, n), own[at, 0], own[at, 1] * np.repeat(often, n))
+        return totals, groups, np.searchsorted(row, np.arange(len(rows) + 1)), key, times
+
+
+def _combined(row: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows and keys, ascending, and the sums of their times."""
+    order = np.lexsort((key, row))
+    row, key, times = row[order], key[order], times[order]
+    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=-1) != 0))
+    return row[first], key[first], np.add.reduceat(times, first) if len(first) else times
 
 
 @remembered("alignment", 2)

@@ -1,8 +1,10 @@
 """Two tokenizers aligned, against encoding whole texts."""
 
 import random
+from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -26,9 +28,24 @@ def libraries():
 def test_common_ends():
     pick = random.Random(1)
     for _ in range(500):
-        a, b = (sorted(pick.sample(range(60), pick.randrange(1, 50))) for _ in range(2))
-        assert alignment.common_ends(a, b) == [(a.index(x), b.index(x)) for x in sorted({*a} & {*b})]
-    assert alignment.common_ends([], [1]) == alignment.common_ends([1], []) == []
+        a, b = (np.array(sorted(pick.sample(range(60), pick.randrange(1, 50)))) for _ in range(2))
+        start = np.searchsorted(b, a) - pick.randrange(1, 9)
+        got = alignment.common_ends(a, b, np.maximum(start, 0))
+        want = [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if x == y]
+        assert list(zip(*(x.tolist() for x in got), strict=True)) == want
+    none = np.empty(0, np.int64)
+    assert [len(x) for x in (*alignment.common_ends(none, a, none), *alignment.common_ends(a, none, a))] == [0] * 4
+
+
+def test_groups_of_many_tokens(monkeypatch, libraries):
+    monkeypatch.setattr(alignment, "PAIRS_OF_GROUP", 1)
+    rows = list(enumerate(odd_texts()[:300]))
+    _, _, ends, links, times = alignment.Aligner(BYTE, PIECE).texts([t for _, t in rows])
+    width = libraries[1].get_piece_size()
+    for (_, text), a, b in zip(rows, ends, ends[1:]):
+        m = brute.aligned(text, *libraries)
+        want = Counter(i * width + j for x, y in (m[2] if m else []) for i in x for j in y)
+        assert dict(zip(links[a:b].tolist(), times[a:b].tolist(), strict=True)) == want
 
 
 def odd_texts():
@@ -39,7 +56,7 @@ def odd_texts():
     return odd + ["".join(pick.choices(chars, k=pick.randrange(1, 60))) for _ in range(1500)]
 
 
-@pytest.mark.parametrize("held", [200_000, 50])
+@pytest.mark.parametrize("held", [alignment.HELD, 50])
 def test_groups_are_those_of_whole_texts(libraries, held):
     odd = odd_texts()
     aligner = alignment.Aligner(BYTE, PIECE, held)
