@@ -21,6 +21,16 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(jvm_path).isFile() or fs.exists(done)
 
 
+def numbered_folders(spark: SparkSession, path: str) -> list[int]:
+    """The numbers that folders below ``path`` have as names, ascending."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(jvm_path)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return with_nulls_for_nan(spark.read.parquet(path))
 
