@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from savora.functions.columns import named, normalised_id
+from savora.plans.skew import grid_join
 
 log = logging.getLogger(__name__)
 LOW_OVERLAP = 100
+NO_NUMBER = "0"  # the normalised id of all ids that are no numbers
 
 
 def merge(items: DataFrame, features: DataFrame, on: str = "recipe_id") -> DataFrame:
     """Inner join on the normalised id; other shared names get ``_x`` (left) and ``_y`` (right).
 
-    Spark picks broadcast or sort-merge from the sizes. Ids that are no numbers all become "0" and
-    may form one hot key, which adaptive execution splits.
+    Spark picks broadcast or sort-merge from the sizes. Ids that are no numbers all become "0"; with n of them on
+    one side and m on the other the result has n x m rows, which leave from a grid of tasks.
     """
     shared = (set(items.columns) & set(features.columns)) - {on}
 
@@ -31,7 +33,7 @@ def merge(items: DataFrame, features: DataFrame, on: str = "recipe_id") -> DataF
             )
         )
 
-    return prepared(items, "_x").join(prepared(features, "_y"), on, "inner")
+    return grid_join(prepared(items, "_x"), prepared(features, "_y"), on, NO_NUMBER)
 
 
 def overlap(items: DataFrame, features: DataFrame, on: str = "recipe_id") -> DataFrame:

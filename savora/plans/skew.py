@@ -81,6 +81,24 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def grid_join(left: DataFrame, right: DataFrame, key: str, hot: str, slices: int = 16) -> DataFrame:
+    """Inner join on ``key``, in which the one key ``hot`` may have very many rows on both sides.
+
+    Its rows are dealt into ``slices`` on either side and copied once for each slice of the other, so its
+    pairs are made in ``slices * slices`` places. All other keys join as usual.
+    """
+    is_hot = F.col(key) == F.lit(hot)
+    every, one = F.sequence(F.lit(0), F.lit(slices - 1)), F.array(F.lit(0))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        hashed = [F.col(f"`{n.replace('`', '``')}`") for n, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        mine = F.when(is_hot, F.pmod(F.xxhash64(*hashed), F.lit(slices)).cast("int")).otherwise(F.lit(0))
+        return df.withColumn(own, mine).withColumn(other, F.explode(F.when(is_hot, every).otherwise(one)))
+
+    joined = dealt(left, "_row", "_column").join(dealt(right, "_column", "_row"), [key, "_row", "_column"])
+    return joined.drop("_row", "_column")
+
+
 def keyed_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """Inner join of ``facts`` with a table of one row per ``key``.
 

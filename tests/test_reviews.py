@@ -94,3 +94,24 @@ def test_overlap(spark):
     with pytest.raises(ValueError):
         validate_merge(left, spark.createDataFrame([("x",)], "recipe_id string"))
     assert overlap(left, left).first().shared_ids == 3
+
+
+def test_many_ids_that_are_no_numbers_on_both_sides(spark):
+    left = spark.range(20_000).select(
+        F.when(F.col("id") < 19_990, F.concat(F.lit("x"), "id")).otherwise(F.col("id").cast("string")).alias("recipe_id"), F.col("id").alias("l")
+    )
+    right = spark.range(200).select(
+        F.when(F.col("id") < 195, F.concat(F.lit("y"), "id")).otherwise((F.col("id") + 19_795).cast("string")).alias("recipe_id"), F.col("id").alias("r")
+    )
+    joined = merge(left.repartition(8), right.repartition(4))
+    counts = {r.recipe_id == "0": r.n for r in joined.groupBy((F.col("recipe_id") == "0").alias("x")).agg(F.count("*").alias("n")).select(F.when(F.col("x"), "0").otherwise("1").alias("recipe_id"), "n").collect()}
+    assert counts[True] == 19_990 * 195 and counts[False] == 5
+    assert joined.where("recipe_id = '0'").select("l", "r").distinct().count() == 19_990 * 195
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shuffled = merge(left, right).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in shuffled) < 0.4 * 19_990 * 195
