@@ -237,6 +237,45 @@ HEADS = f"WITH {ASSEMBLED}, {NETWORK_INPUT}, {', '.join(network(h, META_WIDTH) f
     " UNION ALL ".join(f"SELECT '{h}' AS head, * FROM ({bundle(h)})" for h in OTHER_HEADS)
 )
 
+# The rating model: moments of the training rows, and Gaussian elimination for each regularisation.
+FITTED = f"""WITH RECURSIVE {ASSEMBLED},
+placed AS (
+  SELECT recipe_id, CAST(CAST(bayesian_rating AS FLOAT) AS DOUBLE) AS target,
+    row_number() OVER (ORDER BY md5(recipe_id || ':42'), recipe_id) AS place, count(*) OVER () AS n FROM scaled),
+labelled AS (
+  SELECT recipe_id, target, ln((inside - 1) / 4 / (1 - (inside - 1) / 4)) AS y,
+    CASE WHEN place <= floor(0.7::DOUBLE * n) THEN 'train'
+      WHEN place <= floor(0.7::DOUBLE * n) + floor(0.15::DOUBLE * n) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT *, greatest(1.001::DOUBLE, least(4.999::DOUBLE, target)) AS inside FROM placed)),
+x AS MATERIALIZED (SELECT recipe_id, idx, CAST(CAST(value AS FLOAT) AS DOUBLE) AS v FROM cells),
+features AS MATERIALIZED (
+  SELECT idx, avg(v) AS mean, stddev_samp(v) AS sd, row_number() OVER (ORDER BY idx) AS k
+  FROM x JOIN labelled USING (recipe_id) WHERE split = 'train' GROUP BY idx HAVING stddev_samp(v) > 1e-12),
+ys AS (SELECT avg(y) AS ymean, count(*) - 1 AS df FROM labelled WHERE split = 'train'),
+z AS MATERIALIZED (SELECT recipe_id, k, (v - mean) / sd AS z FROM x JOIN features USING (idx)),
+train AS MATERIALIZED (SELECT z.*, y - ymean AS dy FROM z JOIN labelled USING (recipe_id), ys WHERE split = 'train'),
+regs AS (SELECT unnest([0.001::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE]) AS reg_param),
+products AS MATERIALIZED (
+  SELECT a.k AS i, b.k AS j, sum(a.z * b.z) / any_value(df) AS r FROM train a JOIN train b USING (recipe_id), ys GROUP BY ALL
+  UNION ALL SELECT k, 1000000, sum(z * dy) / any_value(df) FROM train, ys GROUP BY k),
+augmented AS (SELECT reg_param, i, list(r + CASE WHEN i = j THEN reg_param ELSE 0 END ORDER BY j) AS cells FROM products, regs GROUP BY ALL),
+elimination AS (
+  SELECT reg_param, CAST(0 AS BIGINT) AS k, list(cells ORDER BY i) AS m, count(*) AS size FROM augmented GROUP BY reg_param
+  UNION ALL
+  SELECT reg_param, k + 1, list_transform(m, lambda row, i: CASE WHEN i = k + 1 THEN list_transform(row, lambda c: c / row[k + 1])
+    ELSE list_transform(row, lambda c, j: c - row[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END), size
+  FROM elimination WHERE k < size),
+solved AS (
+  SELECT reg_param, unnest(list_transform(m, lambda row: row[-1])) AS b, unnest(range(1, size + 1)) AS k FROM elimination WHERE k = size),
+fitted AS MATERIALIZED (
+  SELECT reg_param, split, any_value(target) AS target, 1 + 4 / (1 + exp(-(any_value(ymean) + sum(b * z)))) AS prediction
+  FROM z JOIN solved USING (k) JOIN labelled USING (recipe_id), ys WHERE split <> 'train' GROUP BY reg_param, split, recipe_id),
+losses AS (
+  SELECT reg_param, avg((prediction - target) ** 2) FILTER (WHERE split = 'val') AS validation_loss,
+    avg((prediction - target) ** 2) FILTER (WHERE split = 'test') AS test_mse, avg(abs(prediction - target)) FILTER (WHERE split = 'test') AS test_mae
+  FROM fitted GROUP BY reg_param),
+history AS (SELECT *, row_number() OVER (ORDER BY validation_loss, reg_param) = 1 AS chosen FROM losses)"""
+
 # --- retrieval -----------------------------------------------------------------------------------
 
 
@@ -271,21 +310,26 @@ TEXT_QUERIES = """text_queries AS (
 DOCUMENT_POSTINGS = postings("documents", "doc_id", "text")
 
 ITEM_QUERIES = """item_queries AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS query_id, p_name AS text, CAST(embedding AS DOUBLE[]) AS vector
-  FROM nation JOIN embeddings ON vec_id = n_nationkey JOIN part ON p_partkey = n_nationkey)"""
+  SELECT CAST(p_partkey AS BIGINT) AS query_id, p_name AS text, CAST(embedding AS DOUBLE[]) AS vector,
+    CAST(p_partkey % (SELECT count(*) FROM customer) AS VARCHAR) AS user_id
+  FROM part JOIN embeddings ON vec_id = p_partkey % (SELECT count(*) FROM embeddings) WHERE p_partkey % 20 = 0)"""
 
 SEARCHABLE = """searchable AS (
   SELECT l.*, name, name AS text, CAST(embedding AS DOUBLE[]) AS embedding
   FROM level l JOIN items USING (recipe_id)
     JOIN embeddings ON vec_id = CAST(recipe_id AS BIGINT) % (SELECT count(*) FROM embeddings))"""
 
-SEARCH = f"""{FULL}, {ITEM_QUERIES}, {SEARCHABLE}, {postings("searchable", "recipe_id", "text")},
-{bm25("item_queries", 100)},
+AFFINITY = "list_cosine_similarity([bulk, open, returned], [intensity_bulk, intensity_open, intensity_returned])"
+
+
+def search_signals(affinity: str = "0.0::DOUBLE", more: str = "", profile: str = "") -> str:
+    return f"""{FULL}, {ITEM_QUERIES}, {SEARCHABLE}, {postings("searchable", "recipe_id", "text")},
+{bm25("item_queries", 100)}, {more}
 signals AS (
   SELECT query_id, s.recipe_id, s.name, h.score AS lexical,
     list_cosine_similarity(q.vector, s.embedding) AS semantic,
-    greatest(0, least(1, (bayesian_rating - 1) / 4)) AS quality, intensity_open - intensity_returned AS tag, 0.0::DOUBLE AS affinity
-  FROM lexical_hits h JOIN searchable s ON s.recipe_id = h.doc_id JOIN item_queries q USING (query_id))"""
+    greatest(0, least(1, (bayesian_rating - 1) / 4)) AS quality, intensity_open - intensity_returned AS tag, {affinity} AS affinity
+  FROM lexical_hits h JOIN searchable s ON s.recipe_id = h.doc_id JOIN item_queries q USING (query_id) {profile})"""
 
 
 def blended(source: str, weights: dict[str, float], key: str = "query_id", top_k: int = 10) -> str:
@@ -304,7 +348,7 @@ ranked AS (
 
 
 def search(weights: dict[str, float]) -> str:
-    return f"""WITH {SEARCH}, {blended("signals", weights)}
+    return f"""WITH {search_signals()}, {blended("signals", weights)}
 SELECT query_id, rank, recipe_id, name, score FROM ranked"""
 
 
@@ -318,6 +362,19 @@ pool AS (
 {blended("pool", {"semantic": 1.0})}
 SELECT query_id, rank, recipe_id, name, score FROM ranked"""
 
+BM25 = f"""WITH {DOCUMENT_POSTINGS}, {TEXT_QUERIES}, {bm25("text_queries", 100)}
+SELECT query_id, doc_id, score, rank FROM lexical_hits"""
+BM25_10 = f"""WITH {DOCUMENT_POSTINGS}, {TEXT_QUERIES}, {bm25("text_queries", 10)}
+SELECT query_id, doc_id, score, rank FROM lexical_hits"""
+
+SEMANTIC = """WITH asked AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings),
+scores AS (
+  SELECT query_id, vec_id AS recipe_id, round(list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])), 6) + 0.0 AS score
+  FROM asked, embeddings)
+SELECT query_id, recipe_id, score,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, recipe_id) AS INTEGER) AS rank
+FROM scores QUALIFY rank <= 10"""
+
 # --- users ---------------------------------------------------------------------------------------
 
 IDF = f"""idf AS (
@@ -336,8 +393,6 @@ profiles AS (
         for t in TAGS)}
   FROM history LEFT JOIN level USING (recipe_id) GROUP BY user_id)"""
 
-AFFINITY = "list_cosine_similarity([bulk, open, returned], [intensity_bulk, intensity_open, intensity_returned])"
-
 CUTOFF = """cutoff AS (SELECT quantile_cont(epoch_us(ts), 0.8) AS c FROM reviews),
 timed AS (SELECT reviews.*, CASE WHEN epoch_us(ts) <= c THEN 'train' ELSE 'test' END AS split FROM reviews, cutoff)"""
 
@@ -349,9 +404,7 @@ recommended AS (
   QUALIFY rank <= 5),
 liked AS (SELECT DISTINCT user_id, recipe_id, 1 AS hit FROM timed WHERE split = 'test' AND rating >= 4)"""
 
-PAIRS = f"""{REVIEWS},
-pairs AS (SELECT user_id, recipe_id, avg(rating) AS rating FROM reviews GROUP BY ALL),
-devs AS (SELECT user_id, recipe_id, rating - avg(rating) OVER (PARTITION BY user_id) AS dev FROM pairs),
+CO_RATED = """devs AS (SELECT user_id, recipe_id, rating - avg(rating) OVER (PARTITION BY user_id) AS dev FROM pairs),
 co AS (
   SELECT a.recipe_id AS recipe_id, b.recipe_id AS neighbour, count(*) AS n, sum(a.dev * b.dev) AS dot,
     sqrt(sum(a.dev * a.dev)) * sqrt(sum(b.dev * b.dev)) AS size
@@ -362,6 +415,10 @@ neighbours AS (
     CAST(row_number() OVER (PARTITION BY recipe_id ORDER BY round(CASE WHEN size > 0 THEN dot / size ELSE 0 END, 6) DESC, neighbour) AS INTEGER) AS rank
   FROM co QUALIFY rank <= 20)"""
 
+PAIRS = f"""{REVIEWS},
+pairs AS (SELECT user_id, recipe_id, avg(rating) AS rating FROM reviews GROUP BY ALL),
+{CO_RATED}"""
+
 SESSIONS = """sessions AS (
   SELECT DISTINCT user_id AS session_id, event_id % (SELECT count(*) FROM embeddings) AS recipe_id
   FROM events WHERE event_type = 'purchase')"""
@@ -377,7 +434,18 @@ def mean_vector(source: str, key: str, vectors: str, item: str) -> str:
   GROUP BY {key})"""
 
 
-RECOMMEND = f"""WITH {FULL}, {SEARCHABLE}, {PROFILES},
+def recommended(reviews: str, top_k: int, collaborative: bool, users: str) -> str:
+    """CTEs up to ``recommendations (user_id, rank, recipe_id, name, score)`` for the ``users``."""
+    listed = 20 if collaborative else top_k
+    final = f"""fused AS (
+  SELECT user_id, recipe_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) + 0.0 AS score
+  FROM (SELECT user_id, recipe_id, rank FROM ranked UNION ALL SELECT user_id, recipe_id, rank FROM filtered) GROUP BY ALL),
+final AS (
+  SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, recipe_id) AS INTEGER) AS rank, recipe_id, name, score
+  FROM fused JOIN items USING (recipe_id) QUALIFY rank <= {top_k})"""
+    if not collaborative:
+        final = "final AS (SELECT * FROM ranked)"
+    return f"""{reviews}, {level()}, {ITEMS}, {MERGED}, {SEARCHABLE}, {PROFILES},
 seeds AS (SELECT DISTINCT user_id, recipe_id FROM reviews),
 {mean_vector("seeds", "user_id", "searchable", "recipe_id")},
 near AS (
@@ -390,16 +458,66 @@ signals AS (
     greatest(0, least(1, (bayesian_rating - 1) / 4)) AS quality, intensity_open - intensity_returned AS tag,
     coalesce({AFFINITY}, 0) AS affinity
   FROM near n JOIN searchable s USING (recipe_id) LEFT JOIN profiles USING (user_id)),
-{blended("signals", WEIGHTS, "user_id")},
+{blended("signals", WEIGHTS, "user_id", listed)},
+{filtered(20) + "," if collaborative else ""}
+{final},
 best AS (
   SELECT recipe_id, name, round(greatest(0, least(1, (bayesian_rating - 1) / 4)), 6) AS score,
     CAST(row_number() OVER (ORDER BY round(greatest(0, least(1, (bayesian_rating - 1) / 4)), 6) DESC, recipe_id) AS INTEGER) AS rank
-  FROM searchable QUALIFY rank <= 10)
-SELECT user_id, rank, recipe_id, name, score FROM ranked
-WHERE user_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)
-UNION ALL
-SELECT CAST(c_custkey AS VARCHAR), rank, recipe_id, name, score FROM customer, best
-WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM ranked)"""
+  FROM searchable QUALIFY rank <= {top_k}),
+users AS ({users}),
+recommendations AS (
+  SELECT user_id, rank, recipe_id, name, score FROM final WHERE user_id IN (SELECT user_id FROM users)
+  UNION ALL
+  SELECT user_id, rank, recipe_id, name, score FROM users, best WHERE user_id NOT IN (SELECT user_id FROM final))"""
+
+
+def filtered(k: int) -> str:
+    return f"""pairs AS (
+  SELECT user_id, recipe_id, avg(rating) AS rating FROM reviews WHERE recipe_id IN (SELECT recipe_id FROM searchable) GROUP BY ALL),
+{CO_RATED},
+estimates AS (
+  SELECT user_id, n.recipe_id, round(sum(similarity * dev) / sum(abs(similarity)), 6) + 0.0 AS score
+  FROM neighbours n JOIN devs d ON d.recipe_id = n.neighbour
+  WHERE user_id IN (SELECT user_id FROM reviews GROUP BY user_id HAVING count(*) >= 5)
+  GROUP BY user_id, n.recipe_id HAVING sum(abs(similarity)) > 0),
+filtered AS (
+  SELECT user_id, recipe_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, recipe_id) AS INTEGER) AS rank
+  FROM estimates e WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.user_id = e.user_id AND p.recipe_id = e.recipe_id)
+  QUALIFY rank <= {k})"""
+
+
+CUSTOMERS = "SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer"
+
+PAST = f"""{REVIEWS.replace("reviews AS (", "every AS (", 1)},
+cutoff AS (SELECT quantile_cont(epoch_us(ts), 0.8) AS c FROM every),
+timed AS (SELECT every.*, epoch_us(ts) <= c AS past FROM every, cutoff),
+reviews AS (SELECT * EXCLUDE (past) FROM timed WHERE past),
+truth AS (SELECT * FROM timed WHERE NOT past),
+liked AS (SELECT DISTINCT user_id, recipe_id, 1 AS hit FROM truth WHERE rating >= 4)"""
+
+
+def evaluation(collaborative: bool) -> str:
+    return f"""WITH {recommended(PAST, 5, collaborative, "SELECT DISTINCT user_id FROM truth")},
+dcg AS (SELECT user_id, sum(coalesce(hit, 0) / log2(rank + 1)) AS dcg FROM recommendations LEFT JOIN liked USING (user_id, recipe_id) GROUP BY user_id),
+ideal AS (
+  SELECT user_id, (SELECT sum(1 / log2(r + 1)) FROM range(1, 6) t(r) WHERE r <= n) AS best
+  FROM (SELECT user_id, count(*) AS n FROM liked GROUP BY user_id)),
+mass AS (
+  SELECT user_id, unnest([sum(pred_bulk), sum(pred_open), sum(pred_returned)]) AS m,
+    sum(pred_bulk) + sum(pred_open) + sum(pred_returned) AS total
+  FROM recommendations JOIN level USING (recipe_id) GROUP BY user_id),
+spread AS (SELECT -sum(CASE WHEN m > 0 THEN m / total * ln(m / total) ELSE 0 END) / ln(3) AS d FROM mass GROUP BY user_id)
+SELECT (SELECT round(avg(coalesce(dcg / best, 0)), 6) FROM dcg LEFT JOIN ideal USING (user_id)) AS ndcg,
+  (SELECT count(*) FROM dcg) AS n_users,
+  (SELECT round(avg(CAST(coalesce(hit, 0) AS DOUBLE)), 6)
+   FROM recommendations LEFT JOIN liked USING (user_id, recipe_id) WHERE rank = 1) AS precision_at_1,
+  (SELECT round(avg(d), 6) FROM spread) AS diversity,
+  (SELECT round((SELECT count(DISTINCT recipe_id) FROM recommendations) / (SELECT count(*) FROM part), 6)) AS coverage"""
+
+
+RECOMMEND = f"WITH {recommended(REVIEWS, 10, False, CUSTOMERS)} SELECT * FROM recommendations"
+RECOMMEND_COLLABORATIVE = f"WITH {recommended(REVIEWS, 10, True, CUSTOMERS)} SELECT * FROM recommendations"
 
 # --- one entry per query ---------------------------------------------------------------------------
 
@@ -521,10 +639,10 @@ GROUP BY token ORDER BY n DESC, token LIMIT 100""",
     "a9_standardise": f"WITH {FULL}, {SCALED} SELECT recipe_id, {clean('size')}, {clean('price')} FROM scaled",
     "a10_minmax": f"""WITH {FULL}, {SCALED}
 SELECT recipe_id, {", ".join(clean(f"intensity_{t}") for t in TAGS)} FROM scaled""",
-    "a11_indicators": f"""WITH {ITEMS}, {vocabulary("v", "items", "ingredients_clean", 20)}
+    "a11_indicators": f"""WITH {ITEMS}, {vocabulary("v", "items", "ingredients_clean", 100)}
 SELECT recipe_id, 'ing_' || token AS feature,
   CAST(list_contains(string_split(ingredients_clean, ' '), token) AS INTEGER) AS value FROM items, v""",
-    "a11_indicators_long": f"""WITH {ITEMS}, {vocabulary("v", "items", "tags_clean", 10)}
+    "a11_indicators_long": f"""WITH {ITEMS}, {vocabulary("v", "items", "tags_clean", 100)}
 SELECT recipe_id, 'cat_' || token AS feature FROM items, v WHERE list_contains(string_split(tags_clean, ' '), token)""",
     "a12_losses": f"""WITH {PREDICTIONS}
 SELECT round(avg(e * e), 6) AS mse, round(avg(CASE WHEN abs(e) <= 1 THEN e * e / 2 ELSE abs(e) - 0.5 END), 6) AS huber,
@@ -543,32 +661,40 @@ SELECT round(min(prediction), 6) AS min_prediction, round(max(prediction), 6) AS
     "m1_score_corpus": BUNDLE,
     "m1_heads": HEADS,
     "q1_preprocess": TRAINING,
-    "q3_score": f"""WITH {FULL}
+    "q2_train": f"""{FITTED}
+SELECT 'linear_logit' AS model_type, 'all_features' AS ablation_type, 'mse' AS loss_type,
+  round(test_mse, 5) AS test_mse, round(sqrt(test_mse), 5) AS test_rmse, round(test_mae, 5) AS test_mae FROM history WHERE chosen""",
+    "m2_fit_rating_model": f"""{FITTED}
+SELECT reg_param, round(validation_loss, 5) AS validation_loss, chosen, round(max(test_mse) FILTER (WHERE chosen) OVER (), 5) AS test_mse,
+  round(sqrt(max(test_mse) FILTER (WHERE chosen) OVER ()), 5) AS test_rmse, round(max(test_mae) FILTER (WHERE chosen) OVER (), 5) AS test_mae
+FROM history""",
+    "m3_item_vectors": f"""WITH {ASSEMBLED},
+x AS (SELECT recipe_id, idx, CAST(CAST(value AS FLOAT) AS DOUBLE) AS v FROM cells),
+m AS (SELECT idx, avg(v) AS mean FROM x GROUP BY idx)
+SELECT recipe_id, CAST(least(128, count(*)) AS INTEGER) AS width, round(sqrt(sum((v - mean) * (v - mean))), 3) + 0.0 AS norm
+FROM x JOIN m USING (idx) GROUP BY recipe_id""",
+    "m3_explained_variance": f"""WITH {ASSEMBLED},
+x AS (SELECT idx, var_samp(CAST(CAST(value AS FLOAT) AS DOUBLE)) AS v FROM cells GROUP BY idx)
+SELECT count(*) AS components, round(sum(v), 4) AS variance, 1.0::DOUBLE AS share FROM x""",
+    "q3_score": f"""WITH {ASSEMBLED}, {SHALLOW}
 SELECT recipe_id, name AS recipe_name, round(CAST(CAST(bayesian_rating AS FLOAT) AS DOUBLE), 4) AS target,
-  true AS in_range, CAST(8 AS INTEGER) AS width FROM merged""",
+  round(prediction, 3) + 0.0 AS prediction, width FROM shallow_bundle JOIN scaled USING (recipe_id)""",
     "d1_index_postings": f"""WITH {DOCUMENT_POSTINGS}
 SELECT term, doc_id, tf, dl FROM postings JOIN lengths USING (doc_id)""",
     "d1_index_corpus": f"WITH {DOCUMENT_POSTINGS} SELECT n_docs, round(avgdl, 6) AS avgdl FROM corpus",
     "d1_index_document_frequencies": f"WITH {DOCUMENT_POSTINGS} SELECT term, df FROM frequencies",
-    "d1_index_stored": f"""WITH {DOCUMENT_POSTINGS}, {TEXT_QUERIES}, {bm25("text_queries", 10)}
-SELECT query_id, doc_id, score, rank FROM lexical_hits""",
-    "d2_bm25": f"""WITH {DOCUMENT_POSTINGS}, {TEXT_QUERIES}, {bm25("text_queries", 100)}
-SELECT query_id, doc_id, score, rank FROM lexical_hits""",
-    "d3_semantic": """WITH asked AS (
-  SELECT s_suppkey AS query_id, CAST(embedding AS DOUBLE[]) AS vector
-  FROM supplier JOIN embeddings ON vec_id = s_suppkey % (SELECT count(*) FROM embeddings)),
-scores AS (
-  SELECT query_id, vec_id AS recipe_id, round(list_cosine_similarity(vector, CAST(embedding AS DOUBLE[])), 6) + 0.0 AS score
-  FROM asked, embeddings)
-SELECT query_id, recipe_id, score,
-  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, recipe_id) AS INTEGER) AS rank
-FROM scores QUALIFY rank <= 10""",
+    "d1_index_stored": BM25_10,
+    "d1_index_grown": BM25_10,
+    "d2_bm25": BM25,
+    "d2_bm25_bounded": BM25,
+    "d3_semantic": SEMANTIC,
+    "d3_index_exact": SEMANTIC,
     "d4_quality": f"""WITH {LEVEL}
 SELECT recipe_id, round(greatest(0, least(1, (bayesian_rating - 1) / 4)), 6) AS quality FROM level""",
     "d5_combine_hybrid": search(WEIGHTS),
     "d5_combine_without_semantic": search({s: w for s, w in WEIGHTS.items() if s != "semantic"}),
     "d6_cold_start": f"""WITH {REVIEWS}
-SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN coalesce(n, 0) >= 30 THEN 1.0::DOUBLE ELSE 0.0 END AS affinity_score
+SELECT CAST(c_custkey AS VARCHAR) AS user_id, CASE WHEN coalesce(n, 0) >= 5 THEN 1.0::DOUBLE ELSE 0.0 END AS affinity_score
 FROM customer LEFT JOIN (SELECT user_id, count(*) AS n FROM reviews GROUP BY user_id) ON user_id = CAST(c_custkey AS VARCHAR)""",
     "d7_session_neighbours": f"""WITH {SESSIONS}, {mean_vector("sessions", "session_id", "embeddings", "vec_id")},
 scores AS (
@@ -584,6 +710,8 @@ FROM scores QUALIFY rank <= 10""",
         f"SELECT user_id, '{t}' AS tag, round({t}, 6) + 0.0 AS value FROM profiles" for t in TAGS
     ),
     "d10_user_profiles": f"""WITH {LEVEL}, {PROFILES}
+SELECT user_id, n_reviews, {clean("mean_rating")}, {", ".join(clean(t) for t in TAGS)} FROM profiles""",
+    "d10_profiles_in_parts": f"""WITH {LEVEL}, {PROFILES}
 SELECT user_id, n_reviews, {clean("mean_rating")}, {", ".join(clean(t) for t in TAGS)} FROM profiles""",
     "d11_affinity_scores": f"""WITH {LEVEL}, {PROFILES}
 SELECT user_id, recipe_id, round(coalesce({AFFINITY}, 0), 5) + 0.0 AS affinity_score
@@ -594,7 +722,7 @@ SELECT tag, {clean("prevalence")}, {clean("idf")},
     "d12_net_sentiment": f"""WITH {LEVEL}
 SELECT recipe_id, round(intensity_open - intensity_returned, 6) + 0.0 AS tag FROM level""",
     "d13_active_users": f"""WITH {REVIEWS}
-SELECT user_id, count(*) AS n_reviews FROM reviews GROUP BY user_id HAVING count(*) >= 30""",
+SELECT user_id, count(*) AS n_reviews FROM reviews GROUP BY user_id HAVING count(*) >= 5""",
     "d14_item_similarities": f"WITH {PAIRS} SELECT recipe_id, neighbour, similarity, rank FROM neighbours",
     "d14_collaborative_filter": f"""WITH {PAIRS},
 estimates AS (
@@ -630,5 +758,10 @@ SELECT round((SELECT count(DISTINCT recipe_id) FROM recommended) / (SELECT count
     "d20_search_lexical": search({"lexical": 1.0}),
     "d20_search_semantic": SEARCH_SEMANTIC,
     "d20_search_quality": search({"lexical": 0.5, "quality": 0.5}),
+    "d20_search_history": f"""WITH {search_signals(f"coalesce({AFFINITY}, 0)", PROFILES + ",", "LEFT JOIN profiles USING (user_id)")}, {blended("signals", WEIGHTS)}
+SELECT query_id, rank, recipe_id, name, score FROM ranked""",
     "d20_recommend": RECOMMEND,
+    "d20_recommend_collaborative": RECOMMEND_COLLABORATIVE,
+    "d20_evaluate": evaluation(False),
+    "d20_evaluate_collaborative": evaluation(True),
 }

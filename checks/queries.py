@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from savora.functions import columns as fc
+from savora.operators import bounded_search as bs
 from savora.operators import cofilter as cf
 from savora.operators import features as ft
 from savora.operators import fit
@@ -20,8 +21,10 @@ from savora.operators import network as nw
 from savora.operators import ranking_eval as ev
 from savora.operators import reviews as rv
 from savora.operators import search as se
+from savora.operators import segments as sg
 from savora.operators import split as sp
 from savora.operators import taste as ta
+from savora.operators import vector_index as vi
 from savora.plans import jobs
 from savora.plans.skew import bounded_broadcast
 from savora.session import shared_dir, stage
@@ -76,6 +79,7 @@ def settings_for(spark: SparkSession, d: str, run: str) -> Settings:
         user_profiles_path=f"{base}/profiles",
         numeric_features=ad.NUMERIC,
         hidden_dim=HEAD_WIDTH,
+        reg_params=REG_PARAMS,
         polarity=ad.POLARITY,
     )
 
@@ -361,7 +365,7 @@ def a10_minmax(spark, d):
 
 def a11_indicators(spark, d):
     items = ad.items(spark, d)
-    wide = ft.with_indicators(items, "ingredients_clean", "ing", top_n=20)
+    wide = ft.with_indicators(items, "ingredients_clean", "ing", top_n=100)
     names = [c for c in wide.columns if c.startswith("ing_")]
     pairs = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in names))
     return wide.select("recipe_id", F.inline(pairs))
@@ -369,7 +373,7 @@ def a11_indicators(spark, d):
 
 def a11_indicators_long(spark, d):
     items = ad.items(spark, d)
-    vocab = ft.top_tokens(items, "tags_clean", 10)
+    vocab = ft.top_tokens(items, "tags_clean", 100)
     return ft.indicators_long(items, "recipe_id", "tags_clean", "cat", vocab)
 
 
@@ -460,18 +464,30 @@ def m1_heads(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+REG_PARAMS = (0.001, 0.01, 0.1)
+
+
 def m2_fit_rating_model(spark, d):
     rows, _ = rows_of(spark, d)
     parts = stage(sp.split_exact(rows, seed=SEED), "splits")
-    model = fit.fit_rating_model(parts.where("split = 'train'"), parts.where("split = 'val'"))
+    model = fit.fit_rating_model(parts.where("split = 'train'"), parts.where("split = 'val'"), REG_PARAMS)
     test = mt.evaluate(model.predict(parts.where("split = 'test'")))
-    return rounded(model.history.withColumns({f"test_{c}": test.select(c).scalar() for c in test.columns}))
+    return rounded(model.history.withColumns({f"test_{c}": test.select(c).scalar() for c in test.columns}), 5)
 
 
 def m3_item_vectors(spark, d):
+    """Each item's distance from the mean, which all its components together keep."""
+    rows, _ = rows_of(spark, d)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    vectors = fit.item_vectors(stage(rows, "features"), 128)
+    return rounded(vectors.select("recipe_id", F.size("embedding").alias("width"), F.sqrt(squares).alias("norm")), 3)
+
+
+def m3_explained_variance(spark, d):
     rows, _ = rows_of(spark, d)
-    vectors = fit.item_vectors(rows, 16)
-    return vectors.select("recipe_id", F.size("embedding").alias("width"))
+    found = fit.explained_variance(stage(rows, "features"), 128)
+    totals = found.agg(F.count("*").alias("components"), F.sum("variance").alias("variance"), F.sum("share").alias("share"))
+    return rounded(totals, 4)
 
 
 def q1_preprocess(spark, d):
@@ -480,7 +496,7 @@ def q1_preprocess(spark, d):
 
 def q2_train(spark, d):
     run = jobs.train(spark, settings_for(spark, d, "q2"), report=True)
-    return rounded(run.metrics.drop("reg_param", "val_loss"))
+    return rounded(run.metrics.drop("reg_param", "val_loss"), 5)
 
 
 def q3_score(spark, d):
@@ -496,7 +512,7 @@ def q3_score(spark, d):
         "recipe_id",
         "recipe_name",
         fc.rounded(F.col("target").cast("double"), 4).alias("target"),
-        (F.col("prediction").between(1.0, 5.0)).alias("in_range"),
+        fc.rounded(F.col("prediction").cast("double"), 3).alias("prediction"),
         F.size("embedding").alias("width"),
     )
 
@@ -527,20 +543,58 @@ def d1_index_stored(spark, d):
     return se.bm25_top(index, wanted, 10).withColumnRenamed("lexical", "score")
 
 
+def d1_index_grown(spark, d):
+    """Old versions of all documents are indexed, replaced in two steps, one of which also removes some for a while,
+    and compacted."""
+    path = f"{shared_dir(spark)}/grown-{uuid.uuid4().hex}"
+    docs = ad.table(spark, d, "documents").select("doc_id", "text")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    sg.update(path, docs.withColumn("text", F.concat_ws(" ", F.lit("an old version"), F.substring("text", 1, 400))), buckets=16)
+    sg.update(path, docs.where(half), removed=docs.where(~half))
+    sg.update(path, docs.where(~half))
+    sg.compact(spark, path)
+    wanted = se.query_terms(ad.text_queries(spark, d))
+    return se.bm25_top(sg.open_index(spark, path, wanted), wanted, 10).withColumnRenamed("lexical", "score")
+
+
 def d2_bm25(spark, d):
     hits = se.bm25(ad.table(spark, d, "documents"), ad.text_queries(spark, d), pool=100)
     return hits.withColumnRenamed("lexical", "score")
 
 
+def d2_bm25_bounded(spark, d):
+    """The same hits from an index with bounds, which opens only blocks that can hold one."""
+    path = f"{shared_dir(spark)}/bounds-{uuid.uuid4().hex}"
+    bs.write_bounded_index(stage(se.postings(ad.table(spark, d, "documents")), "postings"), path, buckets=16)
+    hits = bs.bounded_top(spark, path, ad.text_queries(spark, d), pool=100).hits
+    return hits.withColumnRenamed("lexical", "score")
+
+
+def every_vector(spark: SparkSession, d: str) -> DataFrame:
+    return ad.table(spark, d, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
 def d3_semantic(spark, d):
-    """Every supplier asks with one of the given vectors."""
-    given = ad.table(spark, d, "embeddings")
-    n = given.agg(F.count("*")).scalar()
-    asked = ad.table(spark, d, "supplier").select(
-        F.col("s_suppkey").alias("query_id"), F.pmod(F.col("s_suppkey"), n).alias("vec_id")
-    )
-    queries = asked.join(given, "vec_id").select("query_id", F.col("embedding").alias("vector"))
-    return nn.top_k_cosine(queries, ad.vectors(spark, d), 10)
+    """Every given vector asks."""
+    return nn.top_k_cosine(every_vector(spark, d), ad.vectors(spark, d), 10)
+
+
+def vector_index(spark: SparkSession, d: str) -> str:
+    path = f"{shared_dir(spark)}/vectors-{uuid.uuid4().hex}"
+    vi.write_vector_index(ad.vectors(spark, d), path)
+    return path
+
+
+def d3_index_exact(spark, d):
+    """The same hits from the stored index, which goes on to all cells that can hold one."""
+    return vi.search_vector_index(every_vector(spark, d), vector_index(spark, d), 10, exact=True)
+
+
+def d3_index_recall(spark, d):
+    """The share of those hits that the nearest cells hold."""
+    queries = every_vector(spark, d)
+    found = vi.search_vector_index(queries, vector_index(spark, d), 10)
+    return rounded(vi.recall(found, nn.top_k_cosine(queries, ad.vectors(spark, d), 10)))
 
 
 def d4_quality(spark, d):
@@ -575,7 +629,7 @@ def profiles_of(spark: SparkSession, d: str, lvl: DataFrame) -> DataFrame:
 def d6_cold_start(spark, d):
     """Customers without reviews have no affinity score; they get 0."""
     lvl = level(spark, d)
-    active = ta.active_users(ad.reviews(spark, d), 30).select("user_id", F.lit(1.0).alias("affinity_score"))
+    active = ta.active_users(ad.reviews(spark, d), 5).select("user_id", F.lit(1.0).alias("affinity_score"))
     customers = ad.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
     return ta.with_cold_start(customers, active, ["user_id"])
 
@@ -607,6 +661,20 @@ def d10_user_profiles(spark, d):
     )
 
 
+def d10_profiles_in_parts(spark, d):
+    """Profiles from the earlier reviews' stored sums and the later reviews."""
+    settings = settings_for(spark, d, "d10p")
+    parts = stage(sp.split_by_time(ad.reviews(spark, d), "ts", 0.8), "parts")
+    lvl = stage(level(spark, d), "level")
+    for split in ("train", "test"):
+        profiles = jobs.grow_profiles(parts.where(F.col("split") == split).drop("split"), lvl, settings)
+    return rounded(
+        profiles.select(
+            "user_id", "n_reviews", "mean_rating", *(F.col("affinity")[i].alias(t) for i, t in enumerate(ad.TAGS))
+        )
+    )
+
+
 def d11_affinity_scores(spark, d):
     """Every (user, item) pair of the reviews, scored by the user's affinity."""
     lvl = level(spark, d)
@@ -625,7 +693,7 @@ def d12_net_sentiment(spark, d):
 
 
 def d13_active_users(spark, d):
-    return ta.active_users(ad.reviews(spark, d), 30)
+    return ta.active_users(ad.reviews(spark, d), 5)
 
 
 def d14_item_similarities(spark, d):
@@ -673,6 +741,13 @@ def d20_search_quality(spark, d):
     return jobs.search(ad.item_queries(spark, d), searchable(spark, d), "quality", 10, TEST_SETTINGS)
 
 
+def d20_search_history(spark, d):
+    """Hybrid search for users whose affinity counts."""
+    items = searchable(spark, d)
+    profiles = stage(profiles_of(spark, d, items), "profiles")
+    return jobs.search(ad.item_queries(spark, d), items, "hybrid", 10, TEST_SETTINGS, profiles=profiles)
+
+
 def d20_recommend(spark, d):
     """For every customer; those without orders are new users."""
     items = searchable(spark, d)
@@ -682,6 +757,30 @@ def d20_recommend(spark, d):
     return jobs.recommend(users, reviews, items, profiles, 10, TEST_SETTINGS)
 
 
+def d20_recommend_collaborative(spark, d):
+    """The same customers; those with enough reviews also get a list of the item-item filter."""
+    items = searchable(spark, d)
+    reviews = ad.reviews(spark, d)
+    profiles = stage(profiles_of(spark, d, items), "profiles")
+    users = ad.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    return jobs.recommend(users, reviews, items, profiles, 10, TEST_SETTINGS, collaborative=True)
+
+
+def evaluated(spark: SparkSession, d: str, run: str, collaborative: bool) -> DataFrame:
+    items = ad.item_vectors(spark, d).select("recipe_id", "name", F.col("name").alias("text"), "embedding")
+    return rounded(
+        jobs.evaluate_recommender(ad.reviews(spark, d), items, settings_for(spark, d, run), collaborative=collaborative)
+    )
+
+
+def d20_evaluate(spark, d):
+    return evaluated(spark, d, "d20e", False)
+
+
+def d20_evaluate_collaborative(spark, d):
+    return evaluated(spark, d, "d20c", True)
+
+
 QUERIES = {
     name: function
     for name, function in list(globals().items())

@@ -17,23 +17,36 @@ from savora.plans.skew import hot_keys, salted_join
 DAY_MICROS = 86_400_000_000
 
 
-def tag_weights(labels: DataFrame) -> DataFrame:
-    """Per tag: prevalence over the reviews and ``idf = ln(1/prevalence)``, 0 for an unseen tag."""
+def tag_sums(labels: DataFrame) -> DataFrame:
+    """``tag, n, total``: labelled reviews and positive ones; the sums of parts of the reviews add up."""
     tags = tag_names(labels.columns)
     if not tags:
-        return labels.sparkSession.createDataFrame([], "tag string, prevalence double, idf double")
-    shares = labels.agg(
+        return labels.sparkSession.createDataFrame([], "tag string, n bigint, total double")
+    counted = labels.agg(
         F.array(
             *(
                 F.struct(
-                    F.lit(t).alias("tag"), F.avg(F.col(f"pred_{t}").cast("double")).alias("prevalence")
+                    F.lit(t).alias("tag"),
+                    F.count(f"pred_{t}").alias("n"),
+                    F.coalesce(F.sum(F.col(f"pred_{t}").cast("double")), F.lit(0.0)).alias("total"),
                 )
                 for t in tags
             )
         ).alias("rows")
     )
+    return counted.select(F.inline("rows"))
+
+
+def weights_of(sums: DataFrame) -> DataFrame:
+    """Per tag of :func:`tag_sums`: prevalence over the reviews and ``idf = ln(1/prevalence)``, 0 for an unseen tag."""
+    share = F.try_divide(F.sum("total"), F.sum("n")).alias("prevalence")
     idf = F.when(F.col("prevalence") > 0, -F.log("prevalence")).otherwise(F.lit(0.0))
-    return shares.select(F.inline("rows")).withColumn("idf", idf)
+    return sums.groupBy("tag").agg(share).withColumn("idf", idf)
+
+
+def tag_weights(labels: DataFrame) -> DataFrame:
+    """Per tag: prevalence over the reviews and ``idf = ln(1/prevalence)``, 0 for an unseen tag."""
+    return weights_of(tag_sums(labels))
 
 
 def with_polarity(tags: DataFrame, polarity: Mapping[str, int]) -> DataFrame:
@@ -54,46 +67,87 @@ def net_sentiment(tags: Sequence[str], polarity: Mapping[str, int]) -> Column:
     return mean(1) - mean(-1)
 
 
-def affinity_vectors(
+SUMS = ["_n", "_sum_r", "_sum_w", "_sum_wr"]
+
+
+def review_sums(
     reviews: DataFrame,
-    items: DataFrame,
-    weights: DataFrame,
     half_life_days: float = 365.0,
     user: str = "user_id",
     item: str = "recipe_id",
     rating: str = "rating",
     ts: str = "ts",
 ) -> DataFrame:
-    """Per user ``(user, n_reviews, mean_rating, affinity)``, one entry per tag in name order.
-
-    ``affinity_t = idf_t * sum(w * (rating - mean_user) * intensity_t) / sum(w)`` with
-    ``w = 0.5 ** (age / half_life)`` and age counted back from the latest review.
+    """What :func:`affinity_from_sums` needs of the reviews, one row per (user, item).
 
-    The sum is split into ``sum(w*r*s) - mean_user * sum(w*s)``, so the user mean needs no pass of
-    its own. Reviews are first summed per (user, item); what is joined with the item table is one
-    row per pair, and hot items are cut into slices. ``items`` holds one row per item with
-    ``review_count`` and ``intensity_*``; reviews of items that are not in it still count for
-    ``n_reviews`` and the mean.
+    The weight of a review is ``w = 0.5 ** (age / half_life)``, its age counted back from the latest review, whose time in
+    microseconds is in ``latest``. Reviews without a rating do not count.
     """
-    tags = sorted(c.removeprefix("intensity_") for c in items.columns if c.startswith("intensity_"))
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     latest = reviews.agg(F.max(micros).alias("latest")).scalar()
     age_days = (latest - micros).cast("double") / F.lit(float(DAY_MICROS))
     r = F.col(rating).cast("double")
     w = F.pow(F.lit(0.5), age_days / F.lit(float(half_life_days)))
-    pairs = (
+    return (
         reviews.select(F.col(user), F.col(item).cast("string").alias(item), r.alias("_r"), w.alias("_w"))
         .where(F.col("_r").isNotNull())
         .groupBy(user, item)
         .agg(
             F.count("*").alias("_n"),
             F.sum("_r").alias("_sum_r"),
-            F.min("_r").alias("_lo"),
-            F.max("_r").alias("_hi"),
             F.sum("_w").alias("_sum_w"),
             F.sum(F.col("_w") * F.col("_r")).alias("_sum_wr"),
+            F.min("_r").alias("_lo"),
+            F.max("_r").alias("_hi"),
         )
+        .withColumn("latest", latest)
     )
+
+
+def merged_sums(
+    old: DataFrame, new: DataFrame, half_life_days: float = 365.0, user: str = "user_id", item: str = "recipe_id"
+) -> DataFrame:
+    """The :func:`review_sums` of all reviews from those of two parts of them.
+
+    Each part's weights fade by the time from its latest review to the latest of both.
+    """
+    both = old.unionByName(new)
+    latest = both.agg(F.max("latest").alias("latest")).scalar()
+    fade = F.pow(F.lit(0.5), (latest - F.col("latest")).cast("double") / F.lit(float(DAY_MICROS * half_life_days)))
+    faded = both.withColumns({c: F.col(c) * fade for c in ("_sum_w", "_sum_wr")})
+    sums = (F.sum(c).alias(c) for c in SUMS)
+    merged = faded.groupBy(user, item).agg(*sums, F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    return merged.withColumn("latest", latest)
+
+
+def affinity_vectors(
+    reviews: DataFrame,
+    items: DataFrame,
+    weights: DataFrame,
+    half_life_days: float = 365.0,
+    user: str = "user_id",
+    item: str = "recipe_id",
+    rating: str = "rating",
+    ts: str = "ts",
+) -> DataFrame:
+    """Per user ``(user, n_reviews, mean_rating, affinity)`` of :func:`affinity_from_sums`."""
+    return affinity_from_sums(review_sums(reviews, half_life_days, user, item, rating, ts), items, weights, user, item)
+
+
+def affinity_from_sums(
+    pairs: DataFrame, items: DataFrame, weights: DataFrame, user: str = "user_id", item: str = "recipe_id"
+) -> DataFrame:
+    """Per user ``(user, n_reviews, mean_rating, affinity)``, one entry per tag in name order.
+
+    ``affinity_t = idf_t * sum(w * (rating - mean_user) * intensity_t) / sum(w)`` with the weights of
+    :func:`review_sums`.
+
+    The sum is split into ``sum(w*r*s) - mean_user * sum(w*s)``, so the user mean needs no pass of
+    its own. What is joined with the item table is one row per (user, item), and hot items are cut into
+    slices. ``items`` holds one row per item with ``review_count`` and ``intensity_*``; reviews of items that
+    are not in it still count for ``n_reviews`` and the mean.
+    """
+    tags = sorted(c.removeprefix("intensity_") for c in items.columns if c.startswith("intensity_"))
     strength = items.select(
         F.col(item).cast("string").alias(item), *(f"intensity_{t}" for t in tags)
     )
@@ -124,10 +178,13 @@ def affinity_vectors(
     )
 
 
-def active_users(reviews: DataFrame, min_reviews: int = 5, user: str = "user_id") -> DataFrame:
-    """Users with enough reviews for collaborative filtering."""
+def active_users(
+    reviews: DataFrame, min_reviews: int = 5, user: str = "user_id", rating: str = "rating"
+) -> DataFrame:
+    """Users with enough rated reviews for collaborative filtering."""
+    rated = reviews.where(F.col(rating).isNotNull()) if rating in reviews.columns else reviews
     return (
-        reviews.groupBy(user)
+        rated.groupBy(user)
         .agg(F.count("*").alias("n_reviews"))
         .where(F.col("n_reviews") >= min_reviews)
     )

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from savora.functions.columns import ablate, cosine
 from savora.operators import features as ft
+from savora.operators import ranking_eval as ev
+from savora.operators.cofilter import item_similarities, pair_ratings, recommend_from_neighbours
 from savora.operators.fit import RatingModel, fit_rating_model, with_item_vectors
 from savora.operators.merge import merge, validate_merge
 from savora.operators.metrics import evaluate, output_profile
-from savora.operators.nearest import session_neighbours, top_k_cosine
+from savora.operators.nearest import rank_per, session_neighbours, top_k_cosine
 from savora.operators.network import read_weights, score_corpus
 from savora.operators.reviews import recipe_level
 from savora.operators.search import (
@@ -26,14 +28,26 @@ from savora.operators.search import (
     read_index,
     write_index,
 )
-from savora.operators.split import split_exact
-from savora.operators.taste import affinity_scores, affinity_vectors, net_sentiment, tag_weights
+from savora.operators.split import split_by_time, split_exact
+from savora.operators.taste import (
+    active_users,
+    affinity_from_sums,
+    affinity_scores,
+    affinity_vectors,
+    merged_sums,
+    net_sentiment,
+    review_sums,
+    tag_sums,
+    tag_weights,
+    weights_of,
+)
 from savora.plans.skew import bounded_broadcast, keyed_join
 from savora.session import scratch, stage
 from savora.settings import Settings
 from savora.sources.tables import (
     is_written,
     load_inputs,
+    numbered_folders,
     write_mapping,
     write_metrics,
     write_table,
@@ -171,6 +185,28 @@ def user_profiles(
     return reviews.sparkSession.read.parquet(path)
 
 
+def grow_profiles(
+    reviews: DataFrame, level: DataFrame, settings: Settings, path: str | None = None
+) -> DataFrame:
+    """Affinity vectors of all reviews so far, reading only the new ``reviews`` and stored sums.
+
+    Each run stores the sums per user and item, and per tag, in a numbered folder of its own; the newest finished
+    one is the next run's start. ``level`` describes all items as of now. A review must be given once.
+    """
+    spark = reviews.sparkSession
+    path = path or settings.profile_sums_path
+    done = [n for n in numbered_folders(spark, path) if is_written(spark, f"{path}/{n}/tags")]
+    pairs, tags = review_sums(reviews, settings.recency_half_life_days), tag_sums(reviews)
+    if done:
+        pairs = merged_sums(spark.read.parquet(f"{path}/{done[-1]}/pairs"), pairs, settings.recency_half_life_days)
+        tags = spark.read.parquet(f"{path}/{done[-1]}/tags").unionByName(tags)
+        tags = tags.groupBy("tag").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    now = f"{path}/{max(numbered_folders(spark, path), default=-1) + 1}"
+    write_table(pairs, f"{now}/pairs")
+    write_table(tags, f"{now}/tags")  # last: a run without it does not count
+    return affinity_from_sums(spark.read.parquet(f"{now}/pairs"), level, weights_of(spark.read.parquet(f"{now}/tags")))
+
+
 def index(items: DataFrame, settings: Settings, text: str = "text") -> None:
     """Store the full-text index of ``recipe_id`` and ``text``, for :func:`search` to read."""
     with scratch(items.sparkSession):
@@ -250,6 +286,23 @@ def _affinity(hits, queries, items, profiles) -> DataFrame:
     return scores.select("query_id", "recipe_id", F.col("affinity_score").alias("affinity"))
 
 
+# In the sum of reciprocal ranks a first place is worth 1 / (RANK_OFFSET + 1).
+RANK_OFFSET = 60
+
+
+def fuse_ranks(lists: list[DataFrame], top_k: int, user: str = "user_id", item: str = "recipe_id", places: int = 6) -> DataFrame:
+    """``user, item, score, rank`` from several ranked lists by the sum of reciprocal ranks.
+
+    The lists' scores need no common scale. A user who is in one list only keeps its order.
+    """
+    parts = [x.select(user, item, (F.lit(1.0) / (F.col("rank") + RANK_OFFSET)).alias("part")) for x in lists]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    fused = both.groupBy(user, item).agg(F.round(F.sum("part"), places).alias("score"))
+    return rank_per(fused, user, item, "score", top_k)
+
+
 def recommend(
     users: DataFrame,
     reviews: DataFrame,
@@ -257,12 +310,17 @@ def recommend(
     profiles: DataFrame,
     top_k: int | None = None,
     settings: Settings = Settings(),
+    collaborative: bool = False,
 ) -> DataFrame:
     """``(user_id, rank, recipe_id, name, score)`` for a batch of users.
 
     All items a user has reviewed are the session, and are not recommended again; its nearest neighbours are
     ranked again by similarity, quality, tags and the user's affinity. Users for whom there are none, as all
     those without a review of a known item, get the best rated items.
+
+    With ``collaborative``, users with at least ``settings.min_reviews_for_cf`` rated reviews also get a list from the
+    item-item filter over all ``reviews``; both lists, whose scores have no common scale, are fused by rank, and
+    ``score`` is that of :func:`fuse_ranks` for everyone with a list.
     ``items`` as in :func:`search`, with ``embedding``.
     """
     top_k = settings.default_top_k if top_k is None else top_k
@@ -277,8 +335,16 @@ def recommend(
         "*", F.col("affinity_score").alias("affinity"), F.lit(0.0).alias("lexical")
     )
     warm = stage(warm, "signals")
-    ranked = rank_by_mode(warm, "hybrid", top_k, query_id="user_id")
     columns = ["user_id", "rank", "recipe_id", "name", "score"]
+    if collaborative:
+        listed = rank_by_mode(warm, "hybrid", settings.n_neighbors, query_id="user_id").select("user_id", "recipe_id", "rank")
+        filtered = _collaborative(asked, reviews, items, settings)
+        fused = stage(fuse_ranks([listed, filtered], top_k), "fused")
+        ranked = keyed_join(fused, signals.select("recipe_id", "name"), "recipe_id", ["user_id"])
+        served = fused.select("user_id")
+    else:
+        ranked = rank_by_mode(warm, "hybrid", top_k, query_id="user_id")
+        served = warm.select("user_id")
 
     # The same top_k rows for every new user.
     best = (
@@ -287,9 +353,62 @@ def recommend(
         .limit(top_k)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "recipe_id", "name", "score"))).alias("best"))
     )
-    new = users.select("user_id").distinct().join(warm.select("user_id"), "user_id", "left_anti")
+    new = users.select("user_id").distinct().join(served, "user_id", "left_anti")
     cold = (
         new.select("user_id", F.posexplode(best.scalar()).alias("pos", "item"))
         .select("user_id", (F.col("pos") + 1).alias("rank"), "item.recipe_id", "item.name", "item.score")
     )
     return ranked.select(*columns).unionByName(cold.select(*columns))
+
+
+def _collaborative(asked: DataFrame, reviews: DataFrame, items: DataFrame, settings: Settings) -> DataFrame:
+    """``user_id, recipe_id, rank`` of the item-item filter for the active users among ``asked``.
+
+    Similarities come from everyone's ratings of known items; ratings of the asked users alone are scored with them.
+    """
+    known = bounded_broadcast(items.select("recipe_id"))
+    neighbours = stage(
+        item_similarities(stage(pair_ratings(reviews.join(known, "recipe_id", "left_semi")), "pair-ratings"), settings.n_neighbors),
+        "neighbours",
+    )
+    active = active_users(asked, settings.min_reviews_for_cf).select("user_id")
+    pairs = pair_ratings(asked.join(bounded_broadcast(stage(active, "active")), "user_id", "left_semi"))
+    pairs = stage(pairs.join(known, "recipe_id", "left_semi"), "own-ratings")
+    return recommend_from_neighbours(pairs, neighbours, settings.n_neighbors, 0).select("user_id", "recipe_id", "rank")
+
+
+def evaluate_recommender(
+    reviews: DataFrame,
+    items: DataFrame,
+    settings: Settings = Settings(),
+    share: float = 0.8,
+    k: int = 5,
+    collaborative: bool = False,
+    store: bool = True,
+) -> DataFrame:
+    """One row ``ndcg, precision_at_1, diversity, coverage, n_users`` of recommendations made from earlier reviews.
+
+    The first ``share`` of the time is the past. Item features, tag prevalences, profiles and neighbours come from
+    it alone; every user with a later review is asked for, and later reviews are the truth. ``items`` holds
+    ``recipe_id, name, text, embedding``; those without a review in the past cannot be recommended, but count
+    as catalogue. The row is stored with the metrics.
+    """
+    parts = stage(split_by_time(reviews, "ts", share), "timed")
+    past = parts.where("split = 'train'").drop("split")
+    truth = stage(parts.where("split = 'test'").select("user_id", "recipe_id", "rating"), "truth")
+    level = recipe_level(past.drop("user_id", "ts"))
+    known = stage(merge(items.select("recipe_id", "name", "text", "embedding"), level), "known")
+    profiles = stage(user_profiles(past, known, settings), "profiles")
+    users = truth.select("user_id").distinct()
+    found = stage(recommend(users, past, known, profiles, k, settings, collaborative), "recommended")
+    row = (
+        ev.ndcg(found, truth, k)
+        .agg(F.avg("ndcg").alias("ndcg"), F.count("*").alias("n_users"))
+        .withColumn("precision_at_1", ev.precision_at_1(found, truth).scalar())
+        .withColumn("diversity", ev.tag_diversity(found, known, k).agg(F.avg("diversity").alias("diversity")).scalar())
+        .withColumn("coverage", ev.coverage(found, items).scalar())
+    )
+    row = stage(row, "evaluated")
+    if store:
+        write_metrics(row, settings.evaluation_path)
+    return row

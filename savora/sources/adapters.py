@@ -96,13 +96,14 @@ def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query per supplier nation: an item name and the vector a nation stands for."""
-    nation = table(spark, sf_dir, "nation")
+    """Every part whose id is divisible by 20 asks, with its name, a vector and one of the customers."""
     given = table(spark, sf_dir, "embeddings")
-    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("text"))
-    keyed = nation.select(F.col("n_nationkey").cast("bigint").alias("query_id"))
-    return (
-        keyed.join(given, F.col("query_id") == F.col("vec_id"))
-        .join(part, F.col("query_id") == F.col("p_partkey"))
-        .select("query_id", "text", F.col("embedding").alias("vector"))
+    n, users = (table(spark, sf_dir, t).agg(F.count("*")).scalar() for t in ("embeddings", "customer"))
+    key = F.col("p_partkey").cast("bigint")
+    asked = table(spark, sf_dir, "part").where(key % 20 == 0).select(
+        key.alias("query_id"),
+        F.col("p_name").alias("text"),
+        F.pmod(key, users).cast("string").alias("user_id"),
+        F.pmod(key, n).alias("vec_id"),
     )
+    return asked.join(given, "vec_id").select("query_id", "text", "user_id", F.col("embedding").alias("vector"))

@@ -170,6 +170,104 @@ def test_search_and_recommend(spark, settings):
     ]
 
 
+def catalogue(spark, labels):
+    names = spark.range(N_ITEMS).select(
+        F.col("id").cast("string").alias("recipe_id"), F.concat(F.lit("dish "), F.col("id").cast("string")).alias("name"),
+        F.array(F.cos("id"), F.sin("id")).alias("embedding"),
+    )
+    return names.withColumn("text", F.col("name")), names.join(rv.recipe_level(labels), "recipe_id").withColumn("text", F.col("name"))
+
+
+def test_profiles_grow_by_new_reviews(spark, settings, tmp_path):
+    labels = spark.read.parquet(settings.gold_reviews_path)
+    _, items = catalogue(spark, labels)
+    whole = {r.user_id: r for r in jobs.user_profiles(labels, items, settings).collect()}
+    # Parts in any order of time; the second is empty, and a run that did not end is passed over.
+    parts = [labels.where("day(ts) < 9"), labels.where("false"), labels.where("day(ts) >= 20"), labels.where("day(ts) between 9 and 19")]
+    for part in parts:
+        got = jobs.grow_profiles(part, items, settings, str(tmp_path / "sums"))
+        labels.limit(1).write.mode("overwrite").parquet(str(tmp_path / "sums" / "50" / "pairs"))
+    got = {r.user_id: r for r in got.collect()}
+    assert set(got) == set(whole)
+    for user, r in got.items():
+        assert r.n_reviews == whole[user].n_reviews and r.mean_rating == pytest.approx(whole[user].mean_rating)
+        assert r.affinity == pytest.approx(whole[user].affinity, abs=1e-9)
+
+
+def test_fused_ranks(spark):
+    one = spark.createDataFrame([("u", "a", 1), ("u", "b", 2), ("v", "c", 1)], "user_id string, recipe_id string, rank int")
+    two = spark.createDataFrame([("u", "b", 1), ("u", "d", 2), ("w", "e", 3)], "user_id string, recipe_id string, rank int")
+    got = {(r.user_id, r["rank"]): (r.recipe_id, r.score) for r in jobs.fuse_ranks([one, two], 2).collect()}
+    assert got == {
+        ("u", 1): ("b", round(1 / 62 + 1 / 61, 6)), ("u", 2): ("a", round(1 / 61, 6)),
+        ("v", 1): ("c", round(1 / 61, 6)), ("w", 1): ("e", round(1 / 63, 6)),
+    }
+
+
+def test_collaborative_lists_for_active_users_only(spark, settings):
+    labels = spark.read.parquet(settings.gold_reviews_path)
+    few = labels.where("user_id = 'u1'").orderBy("ts", "recipe_id").limit(4).withColumn("user_id", F.lit("few"))
+    labels = labels.unionByName(few)
+    _, items = catalogue(spark, labels)
+    profiles = jobs.user_profiles(labels, items, settings)
+    users = spark.createDataFrame([("u1",), ("few",), ("nobody",)], "user_id string")
+    plain = jobs.recommend(users, labels, items, profiles, 20, settings).collect()
+    fused = jobs.recommend(users, labels, items, profiles, 20, settings, collaborative=True).collect()
+
+    def items_of(rows, user):
+        return [r.recipe_id for r in sorted((r for r in rows if r.user_id == user), key=lambda r: r["rank"])]
+
+    assert items_of(plain, "few") == items_of(fused, "few") and items_of(plain, "nobody") == items_of(fused, "nobody")
+    assert items_of(plain, "u1") != items_of(fused, "u1") and len(set(items_of(fused, "u1"))) == 20
+    seen = {r.recipe_id for r in labels.where("user_id = 'u1'").select("recipe_id").collect()}
+    assert not seen & set(items_of(fused, "u1"))
+
+
+def test_evaluation_uses_the_past_alone(spark, settings, tmp_path):
+    labels = spark.read.parquet(settings.gold_reviews_path)
+    everything, _ = catalogue(spark, labels)
+    at = replace(settings, evaluation_path=str(tmp_path / "metrics"))
+    row = jobs.evaluate_recommender(labels, everything, at).first()
+    assert spark.read.json(at.evaluation_path).first().ndcg == pytest.approx(row.ndcg)
+    assert 0 < row.ndcg < 1 and 0 <= row.precision_at_1 <= 1 and 0 < row.diversity <= 1 and 0 < row.coverage <= 1
+    cut = labels.approxQuantile("rating", [0.5], 0.0)  # any number; what follows changes later reviews only
+    later = sorted(r.ts for r in labels.select("ts").collect())[int(0.8 * 2000)]
+    turned = labels.withColumn("pred_dry", F.when(F.col("ts") > later, 1 - F.col("pred_dry")).otherwise(F.col("pred_dry")))
+    again = jobs.evaluate_recommender(turned, everything, at, store=False).first()
+    assert cut and again == row, "tags of later reviews must not change what is recommended"
+    both = jobs.evaluate_recommender(labels, everything, at, collaborative=True, store=False).first()
+    assert both.n_users == row.n_users
+
+
+def test_regularised_coefficients(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3)) * [1.0, 5.0, 0.1]
+    y = np.clip(3 + x @ [0.4, -0.1, 2.0] + 0.1 * rng.normal(size=200), 1.2, 4.8)
+    rows = [([float(a), float(b)], [float(c), 7.0, float(a)], float(t)) for (a, b, c), t in zip(x, y)]
+    df = spark.createDataFrame(rows, "meta array<double>, tag array<double>, target double")
+    model = fit.fit_rating_model(df, df, (0.3,))
+    design = np.c_[x, np.full(200, 7.0), x[:, 0]]
+    label = np.log((y - 1) / (5 - y))
+    scaled = (design - design.mean(axis=0)) / np.where(design.std(axis=0) > 0, design.std(axis=0, ddof=1), 1)
+    own = np.linalg.solve(scaled.T @ scaled / 199 + 0.3 * np.eye(5), scaled.T @ (label - label.mean()) / 199)
+    expected = own / np.where(design.std(axis=0) > 0, design.std(axis=0, ddof=1), 1)
+    assert list(model.coefficients) == pytest.approx(list(expected), abs=1e-8) and model.coefficients[3] == 0
+    assert model.coefficients[0] == pytest.approx(model.coefficients[4])
+
+
+def test_item_vectors_do_not_depend_on_signs(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(150, 5)) * [5, 4, 3, 2, 1] + 10
+    df = spark.createDataFrame([(i, [float(v) for v in r[:3]], [float(v) for v in r[3:]]) for i, r in enumerate(x)], "recipe_id int, meta array<double>, tag array<double>")
+    got = np.array([r.embedding for r in fit.item_vectors(df, 128).orderBy("recipe_id").collect()])
+    values, axes = np.linalg.eigh(np.cov(x.T))
+    axes = axes[:, ::-1] * np.sign(axes[np.abs(axes).argmax(axis=0), range(5)])[::-1]
+    assert np.allclose(got, (x - x.mean(axis=0)) @ axes, atol=1e-3)
+    found = fit.explained_variance(df, 2).collect()
+    assert [r.variance for r in found] == pytest.approx(list(values[::-1][:2]))
+    assert sum(r.share for r in found) == pytest.approx(values[3:].sum() / values.sum())
+
+
 # --- plans -----------------------------------------------------------------------------------
 
 
