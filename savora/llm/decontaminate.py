@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from savora.session import stage
-from savora.llm.text import WORD_BYTES, map_batches, prepare, remembered, texts, words
+from savora.llm.text import WORD_BYTES, map_batches, prepare, remembered, texts, unused, words
 
 # Words of items in one automaton, about 100 bytes of memory each in every Python worker. More items
 # make further blocks, each a pass over the documents.
@@ -191,7 +191,8 @@ def _scan(df: DataFrame, text_col: str, blocks: tuple[DataFrame, int], window: i
     """
     spark = df.sparkSession
     text_at = df.columns.index(text_col)
-    carried = StructType([*df.schema.fields, StructField("__spans", ARRAY), StructField("__items", NAMES)])
+    spans_col, items_col = (unused(name, df.columns) for name in ("__spans", "__items"))
+    carried = StructType([*df.schema.fields, StructField(spans_col, ARRAY), StructField(items_col, NAMES)])
     pieces, count = blocks
     for k in range(count):
         sent = spark.sparkContext.broadcast(_block(pieces, k))
@@ -202,8 +203,8 @@ def _scan(df: DataFrame, text_col: str, blocks: tuple[DataFrame, int], window: i
             rows = [words(t or "") for t in batch.column(text_at).to_pylist()]
             found = [(len(seq), *automaton.scan(seq)) for seq in rows]
             if not first:
-                old = [[(x["begin"], x["end"]) for x in s] for s in batch.column("__spans").to_pylist()]
-                names = batch.column("__items").to_pylist()
+                old = [[(x["begin"], x["end"]) for x in s] for s in batch.column(spans_col).to_pylist()]
+                names = batch.column(items_col).to_pylist()
                 found = [
                     (n, _union(spans + before), items.union(known))
                     for (n, spans, items), before, known in zip(found, old, names, strict=True)
@@ -213,7 +214,7 @@ def _scan(df: DataFrame, text_col: str, blocks: tuple[DataFrame, int], window: i
                 return finish(batch, found)
             return pa.RecordBatch.from_arrays(
                 [*batch.columns, _span_column(found), _name_column(found)],
-                [*batch.schema.names, "__spans", "__items"],
+                [*batch.schema.names, spans_col, items_col],
             )
 
         df = map_batches(df, make, schema if last else carried)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from savora.llm.text import prepare
+from savora.llm.text import prepare, unused
 from savora.session import shared_dir, stage
 
 STATE = {
@@ -170,8 +170,9 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat both id and text stay or go together; a repeated id with another text is another row.
     """
     dropped = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept"))
-    rows = docs.withColumn("__digest", sha256(normalised(docs[text_col])))
-    return without_rows(rows, dropped.select("doc_id", "digest"), {id_col: "doc_id", "__digest": "digest"}).drop("__digest")
+    own = unused("__digest", docs.columns)
+    rows = docs.withColumn(own, sha256(normalised(docs[text_col])))
+    return without_rows(rows, dropped.select("doc_id", "digest"), {id_col: "doc_id", own: "digest"}).drop(own)
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> DataFrame:
@@ -179,9 +180,10 @@ def without_rows(docs: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> D
 
     ``dropped`` is broadcast up to a checked size.
     """
-    gone = dropped.select(*(F.col(c).alias(f"__gone_{i}") for i, c in enumerate(keys.values()))).distinct()
+    names = [unused(f"__gone_{i}", docs.columns) for i in range(len(keys))]
+    gone = dropped.select(*(F.col(c).alias(n) for c, n in zip(keys.values(), names, strict=True))).distinct()
     gone = stage(gone, "dropped")
     if gone.count() * DIGEST_BYTES * len(keys) <= BROADCAST_BYTES:
         gone = F.broadcast(gone)
-    same = [docs[c].eqNullSafe(F.col(f"__gone_{i}")) for i, c in enumerate(keys)]
+    same = [docs[c].eqNullSafe(F.col(n)) for c, n in zip(keys, names, strict=True)]
     return docs.join(gone, reduce(Column.__and__, same), "left_anti")

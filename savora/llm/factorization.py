@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from savora.llm.text import WordHashes, flat, lists, map_batches, prepare, remembered, words
+from savora.llm.text import WordHashes, flat, lists, map_batches, prepare, remembered, unused, words
 
 # Bytes by kind; everything else (letters, what is beyond ASCII) is not counted.
 KINDS = {
@@ -26,8 +26,10 @@ for _k, _members in enumerate(KINDS.values()):
     KIND_OF[list(_members), _k] = 1
 BINS = 32  # slots of one statistic
 # Deviations between the shares of two classes from which a word is an input; of a hundred thousand words that
-# mean nothing a few are that far apart.
-TOLD_APART = 3.5
+# mean nothing a few are that far apart. Of some million pairs of words as few are PAIR_APART apart.
+TOLD_APART, PAIR_APART = 3.5, 5.5
+# Words in the first share of the sampled texts are looked at in pairs, those in the second are inputs in any case.
+PAIRED, FREQUENT = 0.05, 0.5
 
 
 @dataclass(frozen=True)
@@ -172,13 +174,14 @@ def with_score(
 def fit(
     docs: DataFrame, labels: DataFrame, design: Design, *, id_col: str = "doc_id", text_col: str = "text",
     length_col: str | None = "n_chars", label_col: str = "label", rows_per_class: int = 3000,
-    max_inputs: int = 4096, factors: int = 8, epochs: int = 30, seed: int = 1,
+    factors: int = 8, epochs: int = 30, seed: int = 1,
 ) -> Machine:
     """Learn from at most ``rows_per_class`` labelled documents of each class, chosen by the hash of their id.
 
     ``labels`` has ``id_col`` and ``label_col`` (0 or 1); rows with a null are left out, of several labels
-    for an id the largest counts. The inputs that tell the classes apart best and the most frequent ones are
-    kept, ``max_inputs`` in all. Without documents of both classes the machine returns the share of label 1,
+    for an id the largest counts. Inputs of the machine are words whose shares in the two classes differ by more
+    than chance allows for, words of pairs that do so together, frequent words, and all statistics; there is no bound on their
+    number. Words seen by chance would else be learned by heart. Without documents of both classes the machine returns the share of label 1,
     or one half if there is none at all.
     """
     prepare(docs.sparkSession)
@@ -214,24 +217,48 @@ def fit(
     # In an order that does not depend on how the rows were dealt out.
     at = np.repeat(np.arange(len(y)), np.diff(offsets))
     rank = np.lexsort((_fingerprints(at, slots, len(y)), y))
-    return _train(design, np.argsort(rank)[at], slots, y[rank], max_inputs, factors, epochs, seed)
+    return _train(design, np.argsort(rank)[at], slots, y[rank], factors, epochs, seed)
 
 
 def _fingerprints(at: np.ndarray, slots: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(at, (slots * 2654435761 % (1 << 32)).astype(float), minlength=n)
 
 
-def _train(design, at, slots, y, max_inputs, factors, epochs, seed) -> Machine:
+def _apart(one: np.ndarray, zero: np.ndarray, n_one: int, n_zero: int) -> np.ndarray:
+    """By how many deviations the shares ``one / n_one`` and ``zero / n_zero`` differ, corrected for whole counts."""
+    both, step = (one + zero) / (n_one + n_zero), 1 / n_one + 1 / n_zero
+    spread = np.sqrt(np.maximum(both * (1 - both), 1e-12) * step)
+    return (np.abs(one / n_one - zero / n_zero) - step / 2) / spread
+
+
+def _telling_pairs(words: np.ndarray, at: np.ndarray, slots: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """Those of ``words`` that tell the classes apart together with another one of them."""
+    code = np.full(int(slots.max(initial=0)) + 1, -1, np.int64)
+    code[words] = np.arange(len(words))
+    use = code[slots] >= 0
+    seen = np.zeros((len(positive), len(words)), np.float32)
+    seen[at[use], code[slots[use]]] = 1
+    telling = np.zeros(len(words), bool)
+    n_one, n_zero = positive.sum(), (~positive).sum()
+    for low in range(0, len(words), 512):
+        part = seen[:, low : low + 512]
+        one, zero = part[positive].T @ seen[positive], part[~positive].T @ seen[~positive]
+        apart = _apart(one, zero, n_one, n_zero) > PAIR_APART
+        apart[np.arange(len(apart)), low + np.arange(len(apart))] = False
+        telling[low : low + 512] |= apart.any(axis=1)
+    return words[telling]
+
+
+def _train(design, at, slots, y, factors, epochs, seed) -> Machine:
     n, positive = len(y), y == 1
     one = np.bincount(slots[positive[at]], minlength=design.slots)
     zero = np.bincount(slots[~positive[at]], minlength=design.slots)
-    p, q, both = one / positive.sum(), zero / (n - positive.sum()), (one + zero) / n
-    apart = np.abs(p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / positive.sum() + 1 / (n - positive.sum())))
-    apart[one + zero < 3] = 0
-    told = np.argsort(-apart, kind="stable")[: max_inputs // 2]
-    frequent = np.argsort(-(one + zero), kind="stable")[: max_inputs // 32]
+    told = np.flatnonzero(_apart(one, zero, positive.sum(), n - positive.sum()) > TOLD_APART)
+    share = (one + zero)[: design.word_slots] / n
+    # Of texts of m words there are at most m / PAIRED such words.
+    paired, frequent = np.flatnonzero(share >= PAIRED), np.flatnonzero(share >= FREQUENT)
     statistics = np.flatnonzero((one + zero)[design.word_slots :]) + design.word_slots
-    kept = np.unique(np.concatenate((told[apart[told] > TOLD_APART], frequent[both[frequent] > 0], statistics)))
+    kept = np.unique(np.concatenate((told, _telling_pairs(paired, at, slots, positive), frequent, statistics)))
     index = np.full(design.slots, -1, np.int64)
     index[kept] = np.arange(len(kept))
     use = index[slots] >= 0
@@ -273,4 +300,5 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", *
 
 def keep_good(docs: DataFrame, machine: Machine, threshold: float = 0.5, **columns) -> DataFrame:
     """The rows of ``docs`` scored ``threshold`` or more."""
-    return with_score(docs, machine, name="__score", **columns).where(F.col("__score") >= threshold).drop("__score")
+    name = unused("__score", docs.columns)
+    return with_score(docs, machine, name=name, **columns).where(F.col(name) >= threshold).drop(name)

@@ -329,26 +329,31 @@ def repeated_spans(
     )
     # A text has at most as many ranges as bytes; equal texts have theirs once.
     per_text = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges"))
-    spans = per_text.select("key", _union("ranges").alias("spans"))
+    spans = _merged(per_text)
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     return rows.join(spans, "key", "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
 
 
-def _union(ranges: str):
-    """Overlapping and touching ranges as one."""
-    empty = F.array().cast("array<struct<begin:bigint,end:bigint>>")
+def _merged(per_text: DataFrame) -> DataFrame:
+    """``key, spans``: overlapping and touching ranges of each text as one, ascending."""
 
-    def add(done, r):
-        last = F.element_at(done, -1)
-        joined = F.concat(
-            F.slice(done, 1, F.size(done) - 1),
-            F.array(F.struct(last["begin"].alias("begin"), F.greatest(last["end"], r["end"]).alias("end"))),
-        )
-        return F.when((F.size(done) > 0) & (r["begin"] <= F.try_element_at(done, F.lit(-1))["end"]), joined).otherwise(
-            F.concat(done, F.array(r))
-        )
-
-    return F.aggregate(F.sort_array(ranges), empty, add)
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column(1)
+        begin, end = (column.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))
+        order = np.lexsort((begin, row))
+        row, begin, end = row[order], begin[order], end[order]
+        # The farthest end so far within a text; texts are told apart by an offset.
+        offset = row * (int(end.max()) + 2)
+        farthest = np.maximum.accumulate(end + offset)
+        first = np.concatenate(([True], (begin + offset)[1:] > farthest[:-1]))
+        at = np.flatnonzero(first)
+        last = np.concatenate((at[1:], [len(row)])) - 1
+        spans = pa.StructArray.from_arrays([pa.array(begin[at]), pa.array((farthest - offset)[last])], ["begin", "end"])
+        offsets = np.searchsorted(row[at], np.arange(batch.num_rows + 1)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), spans)], ["key", "spans"])
+
+    return map_batches(per_text, make, "key binary, spans array<struct<begin:long,end:long>>")
 
 
 def without_repeats(docs: DataFrame, length: int = 400, **options) -> DataFrame:

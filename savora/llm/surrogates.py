@@ -354,6 +354,8 @@ def with_surrogates(
     stays null, with no entities.
     """
     prepare(docs.sparkSession)
+    if count_col in docs.columns:
+        raise ValueError(f"there is a column {count_col} already")
     table = stage(entity_table(docs, text_col=text_col), "entities")
     attempt = next((a for a in range(attempts) if collisions(table, key, a).isEmpty()), None)
     if attempt is None:

@@ -44,6 +44,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, or the first longer form of it that is no column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _memories: list[tuple[str, Callable[[], None]]] = []
 
 
