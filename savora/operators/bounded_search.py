@@ -1,20 +1,20 @@
-"""BM25 search that opens only those blocks of documents that can reach a query's last hit.
+"""BM25 search that scores only documents that can reach a query's last hit.
 
-Documents are dealt into blocks of similar length. Beside the postings the index stores, for each term and block,
-the greatest share any document of the block gets from the term. The sum of a query's shares bounds every score
-in the block; blocks are chosen by that sum before any posting is read.
+Documents are dealt into blocks of similar length. Beside the postings the index stores, for each term and for each term
+and block, the greatest share any document gets from the term. Sums of such shares bound what the terms
+of a query that were not looked at yet can add to a document.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from savora.operators.nearest import rank_per
-from savora.operators.search import INDEX_BUCKETS, K1, B, corpus_stats, document_frequencies, document_lengths, query_terms
+from savora.operators.search import INDEX_BUCKETS, K1, B, corpus_stats, document_lengths, query_terms
 from savora.plans.skew import bounded_broadcast
 from savora.session import stage
 
@@ -33,8 +33,8 @@ def write_bounded_index(
 
     ``index`` comes from :func:`savora.operators.search.postings` and is read several times, so it should be stored
     or staged. The share of a posting is its part of BM25 without the term's weight. A document's block
-    follows from its length and id, so the postings are not shuffled to find it. Bounds have at most one row
-    for each posting, and one for each term and block.
+    follows from its length and id, so the postings are not shuffled to find it. Bounds have one row for each
+    term and block.
     """
     bands = document_lengths(index).groupBy(_band(F.col("dl")).alias("band")).agg(F.count("*").alias("n"))
     # A length has at most 128 bands.
@@ -54,7 +54,7 @@ def write_bounded_index(
     parts = {
         "postings": (rows, ["bucket", "term", "block"]),
         "bounds": (bounds, ["bucket", "term", "block"]),
-        "frequencies": (document_frequencies(index).select("*", bucket), ["bucket", "term"]),
+        "frequencies": (bounds.groupBy("bucket", "term").agg(F.sum("n").alias("df"), F.max("bound").alias("bound")), ["bucket", "term"]),
     }
     for name, (table, order) in parts.items():
         table.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/{name}")
@@ -75,9 +75,12 @@ def bounded_top(
 ) -> Opened:
     """``(query_id, doc_id, lexical, rank)`` as :func:`savora.operators.search.bm25` gives them.
 
-    The blocks with the greatest bounds, enough for twice the pool, are opened first. The last of the hits in
-    them is a score to reach: of all other blocks only those are opened whose bound reaches it. A query with
-    fewer hits than that opens all its blocks.
+    A query's terms come by falling bound. Documents are scored by the first of them, which make up half of the
+    sum of bounds; the last of the hits so far is a score to reach, as what a document has can only grow. Terms are
+    essential as long as they and all after them could make up that score: a document with none of these
+    cannot reach it. Of the documents with essential terms those go on that can reach it with the bounds
+    of their block for the other terms, and only they are looked up under the latter. Stop words are looked up for few
+    documents, therefore. A query with fewer hits than ``pool`` has essential terms only.
     """
     stats = spark.read.parquet(f"{path}/stats").first()
     wanted = query_terms(queries, query_id, text)
@@ -86,31 +89,56 @@ def bounded_top(
     schemas = {
         "postings": f"term string, doc_id {stats['kind']}, block bigint, share double, bucket int",
         "bounds": "term string, block bigint, bound double, n bigint, bucket int",
-        "frequencies": "term string, df bigint, bucket int",
+        "frequencies": "term string, df bigint, bound double, bucket int",
     }
     postings, bounds, frequencies = (spark.read.schema(s).parquet(f"{path}/{part}").where(held) for part, s in schemas.items())
     df = F.col("df")
     idf = F.log(F.lit(1.0) + (F.lit(float(stats["n_docs"])) - df + 0.5) / (df + 0.5))
-    weighted = wanted.join(frequencies, "term").select("query_id", "term", idf.alias("idf"))
-    weighted = bounded_broadcast(stage(weighted, "weighted"))
-    # One row for each query, term and block; later steps look at no others.
-    reach = stage(bounds.join(weighted, "term").select("query_id", "term", "block", "idf", "bound"), "reach")
-    upper = stage(reach.groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("bound")).alias("upper")), "upper")
-
-    def scored(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-        chosen = reach.join(bounded_broadcast(blocks.select("query_id", "block")), ["query_id", "block"], "left_semi")
-        rows = postings.join(chosen.select("query_id", "term", "block", "idf"), ["term", "block"])
-        total = F.round(F.sum(F.col("idf") * F.col("share")), places).alias("lexical")
-        return rows.groupBy("query_id", "doc_id").agg(total), rows.select("query_id", "term", "doc_id")
-
-    first = ceil(2 * pool / stats["docs_per_block"])
-    best = stage(rank_per(upper, "query_id", "block", "upper", first), "first")
-    hits, read = scored(best)
-    hits = stage(rank_per(hits, "query_id", "doc_id", "lexical", pool), "hits")
-    floor = hits.where(F.col("rank") == pool).select("query_id", F.col("lexical").alias("floor"))
-    reaches = F.col("floor").isNull() | (F.col("upper") >= F.col("floor") - 2 * 10.0**-places)
-    rest = upper.join(best.select("query_id", "block"), ["query_id", "block"], "left_anti")
-    rest = stage(rest.join(floor, "query_id", "left").where(reaches), "rest")
-    more, read_more = scored(rest)
-    ranked = rank_per(hits.drop("rank").unionByName(more), "query_id", "doc_id", "lexical", pool)
-    return Opened(ranked, read.unionByName(read_more))
+    weighted = wanted.join(frequencies, "term").select("query_id", "term", idf.alias("idf"), (idf * F.col("bound")).alias("most"))
+    falling = Window.partitionBy("query_id").orderBy(F.desc("most"), "term")
+    rest = F.sum("most").over(falling.rowsBetween(0, Window.unboundedFollowing))  # of the term and all after it
+    weighted = weighted.withColumn("rest", rest)
+    weighted = stage(weighted.withColumn("whole", F.max("rest").over(Window.partitionBy("query_id"))), "weighted")
+    slack = 2 * 10.0**-places
+
+    def rows_of(terms: DataFrame) -> DataFrame:
+        chosen = bounded_broadcast(stage(terms.select("query_id", "term", "idf"), "terms"))
+        part = (F.col("idf") * F.col("share")).alias("part")
+        return stage(postings.join(chosen, "term").select("query_id", "term", "doc_id", "block", part), "scored")
+
+    first = F.col("rest") > F.col("whole") / 2
+    read = [rows_of(weighted.where(first))]
+
+    def partial(rows: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, rows).groupBy("query_id", "doc_id", "block").agg(F.sum("part").alias("partial"))
+
+    reached = rank_per(partial(read), "query_id", "doc_id", "partial", pool).where(F.col("rank") == pool)
+    floor = stage(reached.select("query_id", (F.col("partial") - slack).alias("floor")), "floors")
+    weighted = weighted.join(bounded_broadcast(floor), "query_id", "left")
+    essential = F.col("floor").isNull() | (F.col("rest") >= F.col("floor"))
+    read.append(rows_of(weighted.where(essential & ~first)))
+    others = stage(weighted.where(~essential & ~first).select("query_id", "term", "idf", "floor"), "others")
+
+    # What the other terms can add to a document of a block.
+    more = bounds.join(bounded_broadcast(others), "term").groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("bound")).alias("more"))
+    open_ = (
+        partial(read)
+        .join(more, ["query_id", "block"], "left")
+        .join(bounded_broadcast(floor), "query_id", "left")
+        .where(F.col("floor").isNull() | (F.col("partial") + F.coalesce("more", F.lit(0.0)) >= F.col("floor")))
+        .select("query_id", "doc_id", "partial")
+    )
+    open_ = stage(open_, "open")
+    asked = open_.select("query_id", "doc_id").join(bounded_broadcast(others.select("query_id", "term", "idf")), "query_id")
+    looked_up = stage(
+        asked.join(postings, ["term", "doc_id"]).select("query_id", "term", "doc_id", (F.col("idf") * F.col("share")).alias("part")), "looked-up"
+    )
+    scored = (
+        open_.withColumnRenamed("partial", "part")
+        .unionByName(looked_up.select("query_id", "doc_id", "part"))
+        .groupBy("query_id", "doc_id")
+        .agg(F.round(F.sum("part"), places).alias("lexical"))
+    )
+    names = ["query_id", "term", "doc_id"]
+    every = reduce(DataFrame.unionByName, [x.select(*names) for x in (*read, looked_up)])
+    return Opened(rank_per(scored, "query_id", "doc_id", "lexical", pool), every)

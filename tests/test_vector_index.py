@@ -49,6 +49,9 @@ def test_probed_cells_only(spark, data, stored):
     shares = [vi.recall(vi.search_vector_index(q, stored, 5, probes=p), exact).first() for p in (1, 5, 15)]
     assert [r.n_queries for r in shares] == [38] * 3 and [r.n_exact for r in shares] == [190] * 3
     assert shares[0].recall <= shares[1].recall <= shares[2].recall == 1.0 and shares[1].recall >= 0.9
+    cells = vi.read_cells(spark, stored)
+    assert cells.shares[-1] == 1.0 and cells.probes_for(1.0) <= 15 and cells.shares[cells.probes_for(0.9) - 1] >= 0.9
+    assert vi.recall(vi.search_vector_index(q, stored, 5), exact).first().recall >= 0.9
     plan = vi.stored_vectors(spark, stored, [1, 3])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "cell" in plan.split("PartitionFilters")[1].split("]")[0]
     assert vi.stored_vectors(spark, stored, [1, 3]).select("cell").distinct().count() <= 2
