@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from savora.llm.text import prepare, unused
 from savora.session import shared_dir, stage
+from savora.sources.tables import is_written
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -21,6 +23,8 @@ STATE = {
 # Below this many bytes the digests to check are broadcast instead of shuffling every text.
 BROADCAST_BYTES = 32 << 20
 DIGEST_BYTES = 100  # of one digest in a broadcast table, with its overhead
+LOCATED_BYTES = 300  # of one digest with its locator
+ROW_GROUP_BYTES = 32 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -33,17 +37,27 @@ def sha256(norm: Column) -> Column:
 
 
 def digest_rows(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256
-) -> DataFrame:
-    """``digest, doc_id, code_points`` of each row; works on a stream as on a table."""
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256,
+    with_text: bool = False,
+) -> DataFrame:
+    """``digest, doc_id, code_points`` of each row, and its ``text`` if asked; works on a stream as on a table."""
     text = docs[text_col].cast("string")
     return docs.select(
         digest(normalised(text)).alias("digest"),
         docs[id_col].alias("doc_id"),
         F.coalesce(F.char_length(text), F.lit(0)).cast("long").alias("code_points"),
+        *([text.alias("text")] if with_text else []),
     )
 
 
+LOCATOR = ("file", "row")
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """Rows of Parquet files, or of a stream of them, with the name of the file and the row's place in it."""
+    return rows.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def _best(*more: str) -> Column:
     """Most code points, then the smallest id; rows without an id come last."""
     return F.min(F.struct((-F.col("code_points")).alias("down"), F.col("doc_id").isNull().alias("no_id"), "doc_id", *more))
@@ -52,8 +66,8 @@ def _best(*more: str) -> Column:
 def seen(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> DataFrame:
     """Run a stream of :func:`digest_rows` to its end; returns the state of each digest.
 
-    The state of a digest is the row that stays (its id is the locator of the content) and how many rows
-    came. It is kept in RocksDB on the executors' disks, without watermark or time limit, and its changes
+    The state of a digest is the id of the row that stays, the locator of its content if the stream is
+    :func:`located`, and how many rows came. It is kept in RocksDB on the executors' disks, without watermark or time limit, and its changes
     are logged below ``checkpoint``; a restarted stream goes on where it was. Rows of one digest are
     combined before the shuffle, so a text that makes up a third of the input is no hot key. Each
     micro-batch overwrites its own folder of changed digests below ``sink``, so a repeated batch does
@@ -61,7 +75,8 @@ def seen(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> DataFrame:
     """
     spark = stream.sparkSession
 
-    state = stream.groupBy("digest").agg(F.count("*").alias("n"), _best().alias("best"))
+    locator = [c for c in LOCATOR if c in stream.columns]
+    state = stream.groupBy("digest").agg(F.count("*").alias("n"), _best(*locator).alias("best"))
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
@@ -89,15 +104,22 @@ def seen(stream: DataFrame, sink: str, checkpoint: str, **trigger) -> DataFrame:
     return changes.groupBy("digest").agg(last).select("digest", "last.n", "last.best")
 
 
-def _collisions(docs: DataFrame, hits: DataFrame, digest, text_col: str) -> DataFrame:
-    """Digests shared by texts whose bytes differ, among ``hits``."""
-    norm = normalised(docs[text_col])
-    rows = docs.select(digest(norm).alias("digest"), norm.alias("norm"))
-    small = hits.count() * DIGEST_BYTES <= BROADCAST_BYTES
+def _collisions(content: DataFrame, hits: DataFrame, changes: DataFrame, run: str) -> DataFrame:
+    """Digests shared by texts whose bytes differ: rows of ``run`` that hit, against the content that their digests locate.
+
+    A digest's locators are all that its state ever had, so a row is compared with what stayed when it came
+    and with what took its place.
+    """
+    few = hits.count() * LOCATED_BYTES <= BROADCAST_BYTES
+    came = content.where(F.col("run") == run).join(F.broadcast(hits) if few else hits, "digest", "left_semi")
+    at = changes.select("digest", F.col("best.file").alias("file"), F.col("best.row").alias("row")).distinct()
+    at = stage(at.join(F.broadcast(hits) if few else hits, "digest", "left_semi"), "locators")
+    few = at.count() * LOCATED_BYTES <= BROADCAST_BYTES
+    held = located(content.where(F.col("run") != run)).join(F.broadcast(at) if few else at, [*LOCATOR, "digest"], "left_semi")
     # Equal texts are combined before the shuffle, and grouping compares their bytes.
     return (
-        rows.join(F.broadcast(hits) if small else hits, "digest", "left_semi")
-        .groupBy("digest", "norm")
+        came.unionByName(held.select(*came.columns))
+        .groupBy("digest", normalised(F.col("text")).alias("norm"))
         .agg(F.count("*").alias("n"))
         .groupBy("digest")
         .agg(F.count("*").alias("texts"))
@@ -109,6 +131,7 @@ def _collisions(docs: DataFrame, hits: DataFrame, digest, text_col: str) -> Data
 def exact_groups(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None,
+    folder: str | None = None, run: str = "0",
 ) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, digest`` for every row of ``docs``.
 
@@ -118,44 +141,53 @@ def exact_groups(
     both id and text count one by one and are kept or dropped together. An empty table gives an empty
     result; other columns are not looked at.
 
-    Digests are streamed through :func:`seen`. Where a digest was hit again, the full texts are compared;
-    digests of different texts, should there be any, are grouped by text. ``files_per_batch`` bounds a
-    micro-batch.
+    Rows are stored with their digests, and the digests streamed through :func:`seen`. Where a digest was hit
+    again, the full texts of the rows that hit are compared with each other and with those that the digest
+    locates in earlier runs; digests of different texts, should there be any, are remembered and grouped by text. ``files_per_batch`` bounds a micro-batch.
+
+    With a ``folder`` the stored rows and the state stay there and serve later calls, each under its own
+    ``run``: the result has the rows of ``docs``, decided against all rows that ever came. What was decided
+    for earlier rows is not taken back, though a later row may be longer. A call that did not end is repeated
+    under its name; rows that it had stored count once.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"{run!r} is no name for a folder")
     spark = prepare(docs.sparkSession)
-    rows = stage(digest_rows(docs, id_col, text_col, digest), "digests")
-    path = f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(rows.schema)
+    folder = folder or f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}"
+    path = f"{folder}/content/run={run}"
+    if not is_written(spark, path):
+        stored = digest_rows(docs, id_col, text_col, digest, with_text=True)
+        # Small row groups bound the memory of a writer of long texts.
+        stored.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    kind = docs.schema[id_col].dataType.simpleString()
+    light = f"digest string, doc_id {kind}, code_points long, run string"
+    source = spark.readStream.schema(light)
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)
-    folder = rows.inputFiles()
-    if not folder:
-        return rows.select(
-            "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-            F.lit(True).alias("kept"), "digest",
-        )
-    state = seen(source.parquet(folder[0].rpartition("/")[0]), f"{path}/changes", f"{path}/checkpoint")
+    content = spark.read.schema(f"{light}, text string").parquet(f"{folder}/content")
+    rows = content.where(F.col("run") == run).select("digest", "doc_id", "code_points")
+    if content.isEmpty():
+        return _decide(rows.withColumns({"n": F.lit(1).cast("long"), "best": F.struct("doc_id")}))
+    state = seen(located(source.parquet(f"{folder}/content")), f"{folder}/changes", f"{folder}/checkpoint")
     many = state.where("n > 1")
-    collided = stage(_collisions(docs, many.select("digest"), digest, text_col), "collided")
-    result = _decide(rows, many.select("digest", "n", "best"), ["digest"])
+    changes = spark.read.parquet(f"{folder}/changes")
+    found = _collisions(content, stage(many.select("digest"), "hits"), changes, run)
+    found.write.mode("overwrite").parquet(f"{folder}/collided/run={run}")
+    collided = spark.read.schema("digest string").parquet(f"{folder}/collided").select("digest").distinct()
+    result = _decide(rows.join(many, "digest", "left"))
     if collided.isEmpty():
         return result
     # The rare way: group by the text itself.
-    norm = normalised(docs[text_col])
-    again = (
-        docs.select(digest(norm).alias("digest"), norm.alias("norm"), docs[id_col].alias("doc_id"),
-                    F.coalesce(F.char_length(docs[text_col].cast("string")), F.lit(0)).cast("long").alias("code_points"))
-        .join(collided, "digest", "left_semi")
-    )
+    again = content.join(collided, "digest", "left_semi").withColumn("norm", normalised(F.col("text"))).drop("text")
     groups = again.groupBy("digest", "norm").agg(F.count("*").alias("n"), _best().alias("best"))
-    exact = _decide(again, groups, ["digest", "norm"])
+    exact = _decide(again.where(F.col("run") == run).join(groups, ["digest", "norm"], "left"))
     return result.join(collided, "digest", "left_anti").select(*exact.columns).unionByName(exact)
 
 
-def _decide(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def _decide(rows: DataFrame) -> DataFrame:
     """Each row with its group's row that stays; rows in no group stay themselves."""
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id"))
-    return rows.join(groups, keys, "left").select(
+    return rows.select(
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
