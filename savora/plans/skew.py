@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot above 1/MAX_HOT of all rows, so there are never more than MAX_HOT hot keys and no
-# remaining key outweighs 1/MAX_HOT of the work. Keys below MIN_ROWS are not worth cutting.
+from savora.session import stage
+
+# A key is hot above 1/MAX_HOT of all rows, or above SLICE_ROWS rows however many there are in all, so no
+# slice outgrows a task. Keys below MIN_ROWS are not worth cutting.
 MAX_HOT = 1000
 MIN_ROWS = 10_000
+SLICE_ROWS = 5_000_000
+# Rows without a key find no partner; they go to this many places instead of one.
+NULL_SLICES = 1000
 
 # Above this many rows or bytes a side is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
@@ -46,9 +51,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame:
     """Keys that hold more than their share of all rows, and into how many slices to cut each.
 
-    ``counts`` has one row per key with its number of rows. The result has at most ``MAX_HOT`` rows.
+    ``counts`` has one row per key with its number of rows. The result has at most ``MAX_HOT`` rows, or one for
+    each ``SLICE_ROWS`` of all rows if that is more.
     """
-    share = counts.agg((F.sum(rows) / F.lit(MAX_HOT)).alias("share")).scalar()
+    share = counts.agg(F.least(F.sum(rows) / F.lit(MAX_HOT), F.lit(float(SLICE_ROWS))).alias("share")).scalar()
     return (
         counts.select(
             F.col(key), F.col(rows).alias("_rows"), F.greatest(share, F.lit(float(MIN_ROWS))).alias("_share")
@@ -65,17 +71,18 @@ def salted_join(
 
     Rows of ``small`` under a hot key are copied once per slice; all other keys join as usual.
     ``spread_by`` names columns of ``big`` that tell rows of one key apart. ``hot`` comes from
-    :func:`hot_keys`, so broadcasting it is bounded.
+    :func:`hot_keys`; it is stored, and broadcast if it is small. Rows of ``big`` whose key is null are dealt out too.
     """
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    hot = bounded_broadcast(stage(hot, "hot-keys"))
+    slices = F.when(F.col(key).isNull(), F.lit(NULL_SLICES)).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
     left = (
-        big.join(F.broadcast(hot), key, "left")
+        big.join(hot, key, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), slices.cast("bigint")).cast("int"))
         .drop("_slices")
     )
     right = (
-        small.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
+        small.where(F.col(key).isNotNull()).join(hot, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_slices")
     )
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -92,6 +92,35 @@ def test_salted_join_equals_join(spark, how, monkeypatch):
     assert sorted(map(str, got.collect())) == sorted(map(str, big.join(small, "k", how).collect()))
 
 
+def test_hot_keys_are_cut_by_size_too(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MIN_ROWS", 1)
+    counts = spark.createDataFrame([("a", 400), ("b", 90), ("c", 510)], "k string, n long")
+    monkeypatch.setattr(skew, "MAX_HOT", 2)
+    assert [tuple(r) for r in skew.hot_keys(counts, "k", "n").collect()] == [("c", 2)]
+    monkeypatch.setattr(skew, "SLICE_ROWS", 100)
+    assert sorted(tuple(r) for r in skew.hot_keys(counts, "k", "n").collect()) == [("a", 4), ("c", 6)]
+
+
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_rows_without_a_key_are_dealt_out(spark, monkeypatch, rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
+    big = spark.range(2000).selectExpr("if(id % 2 = 0, null, string(id % 10)) AS k", "id")
+    small = spark.createDataFrame([(None, -1), ("1", 1), ("3", 3)], "k string, v long")
+    hot = skew.hot_keys(big.groupBy("k").agg(F.count("*").alias("n")), "k", "n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = skew.salted_join(big, small, "k", hot, ["id"], "left")
+        sizes = [r["count"] for r in got.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        want = big.join(small, "k", "left")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 1000 and max(sizes) < 300
+
+
 def test_bounded_broadcast(spark):
     df = spark.range(10)
     assert skew.bounded_broadcast(df, 9) is df
