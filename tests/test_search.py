@@ -91,3 +91,25 @@ def test_ranking_by_mode(spark):
 def test_quality_is_clipped(spark):
     df = spark.createDataFrame([(0.0,), (3.0,), (6.0,)], "r double")
     assert [r[0] for r in df.select(se.quality(F.col("r"))).collect()] == [0.0, 0.5, 1.0]
+
+
+def test_copies_are_scored_once(spark, monkeypatch):
+    """Equal queries and equal texts give one scoring; the hits and their order are those of all pairs."""
+    texts = ["red soup", "blue soup", "red soup", "salt", None, "Red  soup", "red"]
+    docs = [(i, texts[i % len(texts)]) for i in range(70)] + [(3, "red")]
+    queries = [(q, ["soup red", "RED soup red", "salt", "x"][q % 4]) for q in range(40)]
+    scored, plain = [], se.bm25_scores
+
+    def counted(index, wanted, *more):
+        scored.append((index.postings.where("term is not null").select("doc_id").distinct().count(), wanted.select("query_id").distinct().count()))
+        return plain(index, wanted, *more)
+
+    df, asked = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(queries, "query_id int, text string")
+    index = se.postings(df)
+    for pool in (1, 4, 25, 100):
+        expected = se.bm25_top(index, se.query_terms(asked), pool)
+        with monkeypatch.context() as m:
+            m.setattr(se, "bm25_scores", counted)
+            got = se.bm25(df, asked, pool)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert scored[0] == (6, 3)
