@@ -84,3 +84,35 @@ def test_missing_and_ragged_vectors(spark, monkeypatch, most):
     ragged = queries.unionByName(spark.createDataFrame([(9, [1.0])], queries.schema))
     with pytest.raises(Exception, match="vectors must have 2 numbers, this one has 1"):
         nn.top_k_cosine(ragged, items, 2).collect()
+
+
+def test_equal_vectors_are_scored_once(spark, monkeypatch):
+    """Items that share a vector give the hits of a scan over all of them, with exclusions and ties."""
+    rng = np.random.default_rng(3)
+    kinds = [v.tolist() for v in rng.normal(size=(6, 4))] + [[0.0] * 4] * 2
+    items = [(i, kinds[i * 7 % 8]) for i in range(80)] + [(99, None)]
+    queries = [(q, rng.normal(size=4).tolist()) for q in range(5)] + [(7, [0.0] * 4)]
+    seen = [(q, i) for q in range(5) for i in range(q * 9, q * 12)]
+    df = spark.createDataFrame(items, "recipe_id int, embedding array<float>")
+    asked = spark.createDataFrame(queries, "query_id int, vector array<float>")
+    exclude = spark.createDataFrame(seen, "query_id int, recipe_id int")
+    scanned, scan = [], nn._scan
+
+    def counted(rows, given, *more):
+        scanned.append(given.count())
+        return scan(rows, given, *more)
+
+    monkeypatch.setattr(nn, "_scan", counted)
+    for k in (1, 7, 30):
+        got = nn.top_k_cosine(asked, df, k, exclude=exclude).collect()
+        with monkeypatch.context() as m:
+            m.setattr(nn, "distinct_vectors", lambda *a: None)
+            expected = nn.top_k_cosine(asked, df, k, exclude=exclude).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+    assert scanned[0] == 7
+    sessions = spark.createDataFrame([(q % 3, i) for q, i in seen], "session_id int, recipe_id int")
+    got = {r.session_id: r.vector for r in nn.session_vectors(sessions, df).collect()}
+    for s, vector in got.items():
+        own = [np.float32(kinds[i * 7 % 8]).astype(float) for q, i in seen if q % 3 == s]
+        assert np.allclose(vector, np.mean(own, axis=0))
+    assert len(got) == 3
