@@ -172,3 +172,17 @@ def test_tag_diversity(spark, lists):
     items = spark.createDataFrame([("i1", 1.0, 0.0), ("i2", 0.0, 1.0)], "recipe_id string, pred_a double, pred_b double")
     got = {r.user_id: r.diversity for r in ev.tag_diversity(lists[0], items).collect()}
     assert got == {"a": pytest.approx(1.0), "b": 0.0, "c": 0.0}
+
+
+def test_score_of_a_vector_without_length(spark):
+    """A user with equal ratings has no cosine; one without a profile scores 0 in any case."""
+    from math import isnan
+
+    candidates = spark.createDataFrame([("flat", "i"), ("new", "i"), ("own", "i")], "user_id string, recipe_id string")
+    profiles = spark.createDataFrame([("flat", [0.0, 0.0]), ("own", [1.0, 0.0])], "user_id string, affinity array<double>")
+    items = spark.createDataFrame([("i", 2.0, 0.0)], "recipe_id string, intensity_a double, intensity_b double")
+    plain = {r.user_id: r.affinity_score for r in ta.affinity_scores(candidates, profiles, items).collect()}
+    assert plain == {"flat": 0.0, "new": 0.0, "own": 1.0}
+    scores = ta.affinity_scores(candidates, profiles, items, no_length=float("nan"))
+    got = {r.user_id: r.affinity_score for r in scores.collect()}
+    assert isnan(got.pop("flat")) and got == {"new": 0.0, "own": 1.0}
