@@ -85,3 +85,11 @@ def test_ablation(spark):
 
 def test_tag_names_only_lose_their_prefix():
     assert fc.tag_names(["pred_a", "x_pred_b", "pred_pred_c"]) == ["a", "pred_c"]
+
+
+def test_equal_ids_are_read_once(spark):
+    """Raw ids are counted before they are normalised, so no more of them are parsed than there are distinct ones."""
+    raw = spark.createDataFrame([(x,) for x in ["1", " 1 ", "1.5", "x", None, "x", "+1e3"] * 50], "raw string")
+    counted = fc.count_normalised(raw, "raw", "id")
+    assert {r.id: r.n for r in counted.collect()} == {"1": 150, "0": 150, "1000": 50}
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
