@@ -186,3 +186,15 @@ def test_score_of_a_vector_without_length(spark):
     scores = ta.affinity_scores(candidates, profiles, items, no_length=float("nan"))
     got = {r.user_id: r.affinity_score for r in scores.collect()}
     assert isnan(got.pop("flat")) and got == {"new": 0.0, "own": 1.0}
+
+
+def test_reviews_are_read_once(spark, monkeypatch):
+    """Profiles need the reviews' latest time and their rows; the given reviews, a join at that, are run once for both."""
+    staged, plain = [], ta.stage
+    monkeypatch.setattr(ta, "stage", lambda df, label: staged.append(label) or plain(df, label))
+    day = datetime(2024, 1, 1)
+    reviews = spark.createDataFrame([("u", "i", 5.0, day), ("u", "i", 1.0, day), ("u", "j", 3.0, day)], "user_id string, recipe_id string, rating double, ts timestamp")
+    items = spark.createDataFrame([("i", 2, 1.0), ("j", 1, 0.5)], "recipe_id string, review_count bigint, intensity_a double")
+    weights = spark.createDataFrame([("a", 0.5, 2.0)], "tag string, prevalence double, idf double")
+    row = ta.affinity_vectors(reviews, items, weights).first()
+    assert (row.n_reviews, row.mean_rating, row.affinity) == (3, 3.0, [0.0]) and "weighted-reviews" in staged
