@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from savora.operators import nearest as nn
@@ -116,3 +117,23 @@ def test_equal_vectors_are_scored_once(spark, monkeypatch):
         own = [np.float32(kinds[i * 7 % 8]).astype(float) for q, i in seen if q % 3 == s]
         assert np.allclose(vector, np.mean(own, axis=0))
     assert len(got) == 3
+
+
+def test_vectors_are_unpacked_in_blocks(monkeypatch):
+    """What a task holds in double precision besides the queries is a block, however many items it is given."""
+    rng = np.random.default_rng(5)
+    items, asked = rng.normal(size=(700, 3)), rng.normal(size=(90, 3))
+    monkeypatch.setattr(nn, "QUERY_BLOCK", 40)
+    monkeypatch.setattr(nn, "ITEM_BLOCK", 50)
+    monkeypatch.setattr(nn, "CANDIDATES", 7)
+    unpacked, matrix = [], nn._matrix
+    monkeypatch.setattr(nn, "_matrix", lambda column, width: unpacked.append(len(column)) or matrix(column, width))
+    table = pa.table([np.arange(90), pa.array(asked.tolist()), np.zeros(90, np.int64)], names=["q", "v", "extra"])
+    best = nn._Best(table, 4, 3, 6, ["q", "i", "s"])
+    best.add(np.arange(700), pa.array(items.tolist()))
+    got = [tuple(r.values()) for r in best.table().to_pylist()]
+    assert max(unpacked) == 50
+    assert sorted(got) == sorted((q, i, s) for q, i, s, _ in brute(enumerate(asked), list(enumerate(items)), 4))
+    some = nn._Best(table, 4, 3, 6, ["q", "i", "s"])
+    some.add(np.arange(700), pa.array(items.tolist()), np.array([3, 39, 40, 81]))
+    assert [tuple(r.values()) for r in some.table().to_pylist()] == [r for r in got if r[0] in (3, 39, 40, 81)]
