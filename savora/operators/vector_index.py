@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from savora.operators.nearest import _Best, _checked, _matrix, _unit, _width, rank_per, top_k_cosine
+from savora.operators.nearest import _Best, _checked, _matrix, _unit, _width, query_blocks, rank_per, top_k_cosine
 from savora.session import stage
 
 MOST_CELLS = 4096
 # Vectors that the centres are fitted to; all vectors are stored.
 SAMPLE_PER_CELL, MOST_SAMPLED = 64, 200_000
-# Most query numbers (probes x width) that are broadcast; with more, both sides meet by cell.
+# Most query numbers (vectors x width) that are broadcast; with more, both sides meet in slices.
 PROBE_VALUES = 4_000_000
-ITEMS_PER_SLICE, QUERIES_PER_SLICE = 100_000, 20_000
+ITEMS_PER_SLICE, QUERIES_PER_SLICE = 100_000, 50_000
 # Stored vectors that ask for their own nearest, to find how many cells a search must open.
 CALIBRATED, NEAREST = 500, 10
 
@@ -135,41 +135,66 @@ def stored_vectors(spark: SparkSession, path: str, cells: list[int]) -> DataFram
 
 
 def _probes(queries: DataFrame, cells: Cells, probes: int, slack: float) -> DataFrame:
-    """``query, vector, cell`` of the cells to open: the ``probes`` nearest ones, or, where ``floor`` is known, all
-    others whose bound reaches it."""
+    """``query, vector, opened`` of the queries that open a cell: the ``probes`` nearest ones, or, of queries that have
+    ``opened`` some, all others whose bound reaches ``floor``. ``opened`` has one bit per cell."""
     sent = queries.sparkSession.sparkContext.broadcast(cells)
     kind = queries.schema["query"].dataType.simpleString()
+    more = "opened" in queries.columns
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         filled = own.size > 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = _unit(_matrix(batch.column(1), own.centre.shape[1])) @ own.centre.T
-            order = np.argsort(-np.where(filled, near, -np.inf), axis=1, kind="stable")
-            first = np.zeros(near.shape, bool)
-            np.put_along_axis(first, order[:, :probes], True, axis=1)
-            floor = batch.column(2).to_numpy(zero_copy_only=False)
-            chosen = first if np.isnan(floor).all() else ~first & (near + own.radius >= floor[:, None] - slack)
-            q, c = np.nonzero(chosen & filled)
-            for at in range(0, len(q), 10_000):
-                part = pa.array(q[at : at + 10_000])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                near = _unit(_matrix(batch.column(1), own.centre.shape[1])) @ own.centre.T
+                if more:
+                    floor = batch.column(3).to_numpy(zero_copy_only=False)
+                    chosen = ~_bits(batch.column(2), len(filled)) & (near + own.radius >= floor[:, None] - slack)
+                else:
+                    order = np.argsort(-np.where(filled, near, -np.inf), axis=1, kind="stable")
+                    chosen = np.zeros(near.shape, bool)
+                    np.put_along_axis(chosen, order[:, :probes], True, axis=1)
+                chosen &= filled
+                some = np.flatnonzero(chosen.any(axis=1))
+                bits = pa.array([row.tobytes() for row in np.packbits(chosen[some], axis=1)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(part), batch.column(1).take(part), pa.array(c[at : at + 10_000].astype(np.int32))],
-                    ["query", "vector", "cell"],
+                    [batch.column(0).take(pa.array(some)), batch.column(1).take(pa.array(some)), bits], ["query", "vector", "opened"]
                 )
 
-    return queries.select("query", "vector", "floor").mapInArrow(choose, f"query {kind}, vector array<double>, cell int")
+    names = ["query", "vector"] + (["opened", "floor"] if more else [])
+    return queries.select(*names).mapInArrow(choose, f"query {kind}, vector array<double>, opened binary")
+
+
+def _bits(opened, n: int) -> np.ndarray:
+    """Rows of packed bits as truth values, one column for each of ``n`` cells."""
+    packed = np.frombuffer(b"".join(opened.to_pylist()), np.uint8).reshape(len(opened), -1)
+    return np.unpackbits(packed, axis=1, count=n).astype(bool) if len(opened) else np.zeros((0, n), bool)
+
+
+def _asked_cells(probed: DataFrame, n: int) -> np.ndarray:
+    """Which cells any query opens; each task sends on one row."""
+
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(n, bool)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                seen |= _bits(batch.column(0).slice(at, 2048), n).any(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], ["cell"])
+
+    rows = probed.select("opened").mapInArrow(union, "cell int").distinct().collect()  # MOST_CELLS at most
+    return np.array(sorted(r.cell for r in rows), np.int64)
 
 
 def _open(probed: DataFrame, path: str, cells: Cells, k: int, places: int) -> DataFrame:
-    """``query, item, score``: the best k per query of each task, from the cells that ``probed`` names."""
+    """``query, item, score``: the best k per query of each task, from the cells that ``probed`` has opened.
+
+    Queries travel with the bits of their cells, never once for each of them.
+    """
     spark = probed.sparkSession
-    width = cells.centre.shape[1]
-    probed = stage(probed, "probes")
-    asked = {r.cell: r.n for r in probed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # MOST_CELLS rows at most
-    items = stored_vectors(spark, path, sorted(asked))
+    width, n_cells = cells.centre.shape[1], len(cells.size)
+    asked = _asked_cells(probed, n_cells)
+    items = stored_vectors(spark, path, asked.tolist())
     schema = T.StructType(
         [T.StructField("query", probed.schema["query"].dataType), T.StructField("item", items.schema["item"].dataType),
          T.StructField("score", T.DoubleType())]
@@ -181,49 +206,67 @@ def _open(probed: DataFrame, path: str, cells: Cells, k: int, places: int) -> Da
         extra = pa.array(np.zeros(len(rows), np.int64))
         return _Best(pa.table([rows["query"], rows["vector"], extra], names=["query", "vector", "extra"]), limit, width, places, schema.names)
 
-    if sum(asked.values()) * width <= PROBE_VALUES:
-        rows = probed.orderBy("cell").toArrow()
-        sent = spark.sparkContext.broadcast(rows)
+    def add(best: _Best, opened: np.ndarray, ids: np.ndarray, vectors, numbers: np.ndarray) -> None:
+        order = np.argsort(numbers, kind="stable")
+        if (numbers[order] != numbers).any():
+            ids, vectors, numbers = ids[order], vectors.take(pa.array(order)), numbers[order]
+        edges = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1], True]) if len(numbers) else []
+        for low, high in zip(edges, edges[1:]):
+            best.add(ids[low:high], vectors.slice(low, high - low), np.flatnonzero(opened[:, numbers[low]]))
+
+    most = max(1, PROBE_VALUES // width)
+    if probed.limit(most + 1).count() <= most and PROBE_VALUES:
+        sent = spark.sparkContext.broadcast(probed.toArrow())
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            every = sent.value
-            of_row = every["cell"].to_numpy()
-            now, best = None, None
+            best, opened = best_of(sent.value), _bits(sent.value["opened"], n_cells)
             for batch in batches:
                 numbers = batch.column(2).to_numpy(zero_copy_only=False)
-                for cell in np.unique(numbers):
-                    if cell != now:
-                        # Files hold one cell each: what was found in the last one is done with.
-                        if best is not None and best.kept:
-                            yield from best.table().cast(target).combine_chunks().to_batches(max_chunksize=10_000)
-                        low, high = np.searchsorted(of_row, [cell, cell + 1])
-                        now, best = cell, best_of(every.slice(low, high - low))
-                    part = batch.filter(pa.array(numbers == cell))
-                    best.add(part.column(0).to_numpy(zero_copy_only=False), part.column(1))
-            if best is not None and best.kept:
+                add(best, opened, batch.column(0).to_numpy(zero_copy_only=False), batch.column(1), numbers)
+            if best.kept:
                 yield from best.table().cast(target).combine_chunks().to_batches(max_chunksize=10_000)
 
         return items.select("item", "vector", "cell").mapInArrow(scan, schema)
 
-    # Many probes: items and queries meet by cell, a large cell in slices of both.
-    n_items = F.array(*(F.lit(max(1, ceil(int(n) / ITEMS_PER_SLICE))) for n in cells.size))
-    n_queries = F.array(*(F.lit(max(1, ceil(asked.get(c, 0) / QUERIES_PER_SLICE))) for c in range(len(cells.size))))
-
-    def dealt(df: DataFrame, own: str, own_n, other: str, other_n, key: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.get(own_n, F.col("cell")).cast("bigint")).cast("int")
-        others = F.sequence(F.lit(0), F.get(other_n, F.col("cell")) - 1)
-        return df.withColumn(own, mine).withColumn(other, F.explode(others))
-
-    left = dealt(probed, "q", n_queries, "i", n_items, "query").groupBy("cell", "q", "i")
-    right = dealt(items, "i", n_items, "q", n_queries, "item").groupBy("cell", "q", "i")
+    # Many queries: both sides meet in slices. One of items is several cells, or a part of a large one.
+    pieces = np.maximum(1, np.ceil(cells.size / ITEMS_PER_SLICE)).astype(int)
+    first, at, held = np.zeros(n_cells, int), -1, ITEMS_PER_SLICE
+    for cell in asked:
+        if pieces[cell] > 1 or held + cells.size[cell] > ITEMS_PER_SLICE:
+            at, held = at + 1, 0
+        first[cell], held = at, held + cells.size[cell]
+        if pieces[cell] > 1:
+            at, held = at + pieces[cell] - 1, ITEMS_PER_SLICE
+    slices = at + 1
+    parts = query_blocks(probed, QUERIES_PER_SLICE, max(1, slices))
+    of_cell = np.zeros((n_cells, slices), np.float32)
+    for cell in asked:
+        of_cell[cell, first[cell] : first[cell] + pieces[cell]] = 1
+    kind = probed.schema["query"].dataType.simpleString()
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, 2048):
+                batch = whole.slice(low, 2048)
+                q, i = np.nonzero(_bits(batch.column(2), n_cells).astype(np.float32) @ of_cell)
+                for start in range(0, len(q), 10_000):
+                    part = pa.array(q[start : start + 10_000])
+                    slice_ = pa.array(i[start : start + 10_000].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([*(c.take(part) for c in batch.columns), slice_], ["query", "vector", "opened", "i"])
+
+    left = probed.select("query", "vector", "opened").mapInArrow(visit, f"query {kind}, vector array<double>, opened binary, i int")
+    left = left.withColumn("q", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
+    of, n_pieces = (F.get(F.array(*(F.lit(int(x)) for x in numbers)), F.col("cell")) for numbers in (first, pieces))
+    right = items.withColumn("i", of + F.pmod(F.xxhash64("item"), n_pieces.cast("bigint")).cast("int"))
+    right = right.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def meet(asking: pa.Table, given: pa.Table) -> pa.Table:
         best = best_of(asking)
         if len(given) and len(asking):
-            best.add(given["item"].to_numpy(), given["vector"])
+            add(best, _bits(asking["opened"], n_cells), given["item"].to_numpy(), given["vector"], given["cell"].to_numpy())
         return best.table().cast(target)
 
-    return left.cogroup(right).applyInArrow(meet, schema)
+    return left.groupBy("q", "i").cogroup(right.groupBy("q", "i")).applyInArrow(meet, schema)
 
 
 def search_vector_index(
@@ -243,17 +286,16 @@ def search_vector_index(
     asked = queries.where(F.col(query_vector).isNotNull()).select(
         F.col(query_id).alias("query"),
         _checked(F.col(query_vector), cells.centre.shape[1]).cast("array<double>").alias("vector"),
-        F.lit(float("nan")).alias("floor"),
     )
-    asked = stage(asked, "queries")
-    found = _open(_probes(asked, cells, probes, 0.0), path, cells, k, places)
+    asked = stage(_probes(asked, cells, probes, 0.0), "queries")
+    found = _open(asked, path, cells, k, places)
     if exact:
         found = stage(rank_per(found, "query", "item", "score", k), "probed")
         last = found.where(F.col("rank") == k).select("query", "score")
-        known = asked.drop("floor").join(last, "query", "left").select(
-            "query", "vector", F.coalesce("score", F.lit(float("-inf"))).alias("floor")
+        known = asked.join(last, "query", "left").select(
+            "query", "vector", "opened", F.coalesce("score", F.lit(float("-inf"))).alias("floor")
         )
-        rest = _open(_probes(known, cells, probes, 2 * 10.0**-places), path, cells, k, places)
+        rest = _open(stage(_probes(known, cells, probes, 2 * 10.0**-places), "probes"), path, cells, k, places)
         found = found.drop("rank").unionByName(rest)
     ranked = rank_per(found, "query", "item", "score", k)
     return ranked.select(F.col("query").alias(query_id), F.col("item").alias(item_id), "score", "rank")

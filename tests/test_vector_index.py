@@ -66,3 +66,17 @@ def test_no_items_and_no_queries(spark, data, tmp_path):
     ragged = spark.createDataFrame([(1, [1.0])], "query_id bigint, vector array<double>")
     with pytest.raises(Exception, match="vectors must have 6 numbers"):
         vi.search_vector_index(ragged, str(tmp_path / "a"), 3).collect()
+
+
+@pytest.mark.parametrize("values", [0, 4_000_000])
+def test_queries_travel_once_whatever_they_open(spark, data, stored, values, monkeypatch):
+    monkeypatch.setattr(vi, "PROBE_VALUES", values)
+    queries, _ = data
+    q = spark.createDataFrame(queries, "query string, vector array<double>")
+    cells = vi.read_cells(spark, stored)
+    probed = vi._probes(q, cells, 9, 0.0)
+    assert probed.count() == len(queries)
+    assert vi._bits(probed.toArrow()["opened"], 15).sum(axis=1).tolist() == [9] * len(queries)
+    found = vi._open(probed, stored, cells, 4, 6)
+    if not values:  # candidates of a slice, not of each cell
+        assert found.count() == 4 * len(queries)
