@@ -12,7 +12,8 @@ from savora.operators import fit
 from savora.operators import network as nw
 from savora.operators import reviews as rv
 from savora.operators import taste as ta
-from savora.plans import jobs
+from savora.plans import jobs, skew
+from savora.session import stage
 from savora.settings import NUMERIC_FEATURES, Settings
 from savora.sources import adapters as ad
 
@@ -307,3 +308,27 @@ def test_scoring_does_not_shuffle(spark):
     )
     weights = nw.seeded_weights(nw.parameter_shapes("shallow", 1, 0, 1, 4))
     assert "Exchange" not in plan(nw.score_corpus(df, weights, 1, 0, 1, "shallow", 4))
+
+
+def test_large_tables_in_small_files_are_not_broadcast(spark):
+    rows = spark.range(1_000_000, numPartitions=1).select("id", (F.pmod(F.xxhash64("id"), F.lit(100))).alias("n"))
+    stored = stage(rows, "compressed")
+    joined = plan(stored.join(stage(spark.range(5_000_000, numPartitions=1), "ids"), "id"))
+    assert "SortMergeJoin" in joined and "BroadcastHashJoin" not in joined
+
+
+def test_pairs_of_many_hits_are_joined_by_shuffle(spark, settings, monkeypatch):
+    labels = spark.read.parquet(settings.gold_reviews_path)
+    _, items = catalogue(spark, labels)
+    queries = spark.createDataFrame([(1, "dish 7", [1.0, 0.0]), (2, "DISH 9", [0.0, 1.0])], "query_id int, text string, vector array<double>")
+    plans = {}
+
+    def recorded(df, label):
+        plans[label] = plan(df)
+        return stage(df, label)
+
+    monkeypatch.setattr(jobs, "stage", recorded)
+    expected = sorted(map(str, jobs.search(queries, items, "hybrid", 5, settings).collect()))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 50)
+    assert sorted(map(str, jobs.search(queries, items, "hybrid", 5, settings).collect())) == expected
+    assert plans["signals"].count("SortMergeJoin [query_id") == 2
