@@ -1,7 +1,11 @@
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import both_sides, database
+from checks.oracle import ORACLE
+from checks.queries import d3_semantic
 from savora.operators import nearest as nn
 from savora.operators import vector_index as vi
 from tests.test_nearest import brute
@@ -80,3 +84,16 @@ def test_queries_travel_once_whatever_they_open(spark, data, stored, values, mon
     found = vi._open(probed, stored, cells, 4, 6)
     if not values:  # candidates of a slice, not of each cell
         assert found.count() == 4 * len(queries)
+
+
+def test_suppliers_and_vectors_ask(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    vectors = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(3)], "vec_id bigint, embedding array<float>")
+    for name, keys in (("more", [1, 2, 3, 7, None]), ("fewer", [1])):
+        at = tmp_path / name
+        at.mkdir()
+        pq.write_table(vectors.toArrow(), at / "embeddings.parquet")
+        pq.write_table(spark.createDataFrame([(k,) for k in keys], "s_suppkey bigint").toArrow(), at / "supplier.parquet")
+        ours, theirs, problems = both_sides(d3_semantic(spark, str(at)), database(str(at)), ORACLE["d3_semantic"])
+        assert not problems and ours == theirs
+        assert len(ours) == 3 * len({0, 1, 2} | {k for k in keys if k is not None}), "each gets all three vectors"
