@@ -1,5 +1,6 @@
 """Whole jobs on a small made-up catalogue, and what their plans must not contain."""
 
+import time
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -332,3 +333,16 @@ def test_pairs_of_many_hits_are_joined_by_shuffle(spark, settings, monkeypatch):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 50)
     assert sorted(map(str, jobs.search(queries, items, "hybrid", 5, settings).collect())) == expected
     assert plans["signals"].count("SortMergeJoin [query_id") == 2
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if "shuffle_" in files.apply(i).getName()}
+
+    before = shuffled()
+    stage(spark.range(10_000).repartition(5, "id"), "dealt")
+    end = time.time() + 20
+    while (left := shuffled() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
