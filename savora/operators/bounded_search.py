@@ -8,14 +8,14 @@ of a query that were not looked at yet can add to a document.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from savora.operators.nearest import rank_per
-from savora.operators.search import INDEX_BUCKETS, K1, B, corpus_stats, document_lengths, query_terms
-from savora.plans.skew import bounded_broadcast
+from savora.operators.search import INDEX_BUCKETS, K1, MAX_PARTITIONS, SCORES_PER_TASK, B, corpus_stats, document_lengths, query_terms
+from savora.plans.skew import bounded_broadcast, never_broadcast
 from savora.session import stage
 
 DOCS_PER_BLOCK = 64
@@ -32,7 +32,7 @@ def write_bounded_index(
     """Store postings with each document's share, bounds, frequencies and statistics.
 
     ``index`` comes from :func:`savora.operators.search.postings` and is read several times, so it should be stored
-    or staged. The share of a posting is its part of BM25 without the term's weight. A document's block
+    or staged. Postings are dealt out as they are stored, once for themselves and once for the bounds. The share of a posting is its part of BM25 without the term's weight. A document's block
     follows from its length and id, so the postings are not shuffled to find it. Bounds have one row for each
     term and block.
     """
@@ -49,15 +49,18 @@ def write_bounded_index(
         .join(bands, "band")
         .select("term", "doc_id", block.alias("block"), (F.col("tf") / (F.col("tf") + norm)).alias("share"), bucket)
     )
-    rows = stage(rows, "shares")
-    bounds = rows.groupBy("bucket", "term", "block").agg(F.max("share").alias("bound"), F.count("*").alias("n"))
-    parts = {
-        "postings": (rows, ["bucket", "term", "block"]),
-        "bounds": (bounds, ["bucket", "term", "block"]),
-        "frequencies": (bounds.groupBy("bucket", "term").agg(F.sum("n").alias("df"), F.max("bound").alias("bound")), ["bucket", "term"]),
-    }
-    for name, (table, order) in parts.items():
-        table.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/{name}")
+    order = ["bucket", "term", "block"]
+
+    def write(name: str, dealt: DataFrame) -> DataFrame:
+        dealt.write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/{name}")
+        return index.sparkSession.read.schema(dealt.schema).parquet(f"{path}/{name}")
+
+    write("postings", rows.repartitionByRange(*order).sortWithinPartitions(*order))
+    # Rows of a term and block are in one place already, and those of a term lie side by side in what is stored.
+    by_block = rows.select(*order, "share").repartitionByRange(*order).groupBy(*order)
+    bounds = write("bounds", by_block.agg(F.max("share").alias("bound"), F.count("*").alias("n")).sortWithinPartitions(*order))
+    by_term = bounds.groupBy("bucket", "term").agg(F.sum("n").alias("df"), F.max("bound").alias("bound"))
+    write("frequencies", by_term.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term"))
     kind = index.schema["doc_id"].dataType.simpleString()
     stats.withColumns({"buckets": F.lit(buckets), "docs_per_block": F.lit(docs_per_block), "kind": F.lit(kind)}).write.mode("overwrite").parquet(f"{path}/stats")
 
@@ -101,44 +104,59 @@ def bounded_top(
     weighted = stage(weighted.withColumn("whole", F.max("rest").over(Window.partitionBy("query_id"))), "weighted")
     slack = 2 * 10.0**-places
 
+    scores = stats["n_docs"] * weighted.select("query_id").distinct().count()
+    tasks = min(max(spark.sparkContext.defaultParallelism, ceil(scores / SCORES_PER_TASK)), MAX_PARTITIONS)
+
+    def found(terms: DataFrame) -> DataFrame:
+        """Postings of these terms, dealt out by document."""
+        wanted_terms = stage(terms.select("term").distinct(), "wanted-terms")
+        return postings.join(bounded_broadcast(wanted_terms), "term").select("term", "doc_id", "block", "share").repartition(tasks, "doc_id")
+
     def rows_of(terms: DataFrame) -> DataFrame:
+        """Queries join where a document's postings are, so its sums need no shuffle."""
         chosen = bounded_broadcast(stage(terms.select("query_id", "term", "idf"), "terms"))
         part = (F.col("idf") * F.col("share")).alias("part")
-        return stage(postings.join(chosen, "term").select("query_id", "term", "doc_id", "block", part), "scored")
+        return found(terms).join(chosen, "term").select("query_id", "term", "doc_id", "block", part)
 
     first = F.col("rest") > F.col("whole") / 2
-    read = [rows_of(weighted.where(first))]
 
-    def partial(rows: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, rows).groupBy("query_id", "doc_id", "block").agg(F.sum("part").alias("partial"))
+    def partial(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("query_id", "doc_id", "block").agg(F.sum("part").alias("partial"))
 
-    reached = rank_per(partial(read), "query_id", "doc_id", "partial", pool).where(F.col("rank") == pool)
+    reached = rank_per(partial(rows_of(weighted.where(first))), "query_id", "doc_id", "partial", pool).where(F.col("rank") == pool)
     floor = stage(reached.select("query_id", (F.col("partial") - slack).alias("floor")), "floors")
     weighted = weighted.join(bounded_broadcast(floor), "query_id", "left")
     essential = F.col("floor").isNull() | (F.col("rest") >= F.col("floor"))
-    read.append(rows_of(weighted.where(essential & ~first)))
+    read = rows_of(weighted.where(essential | first))
     others = stage(weighted.where(~essential & ~first).select("query_id", "term", "idf", "floor"), "others")
 
     # What the other terms can add to a document of a block.
     more = bounds.join(bounded_broadcast(others), "term").groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("bound")).alias("more"))
     open_ = (
         partial(read)
-        .join(more, ["query_id", "block"], "left")
         .join(bounded_broadcast(floor), "query_id", "left")
+        .join(bounded_broadcast(stage(more, "more")), ["query_id", "block"], "left")
         .where(F.col("floor").isNull() | (F.col("partial") + F.coalesce("more", F.lit(0.0)) >= F.col("floor")))
         .select("query_id", "doc_id", "partial")
     )
     open_ = stage(open_, "open")
-    asked = open_.select("query_id", "doc_id").join(bounded_broadcast(others.select("query_id", "term", "idf")), "query_id")
-    looked_up = stage(
-        asked.join(postings, ["term", "doc_id"]).select("query_id", "term", "doc_id", (F.col("idf") * F.col("share")).alias("part")), "looked-up"
+    # Postings of the other terms meet the open documents by document; which of them a query asks for is known there.
+    asked = bounded_broadcast(others.select("query_id", "term", "idf"))
+    held = found(others).groupBy("doc_id").agg(F.collect_list(F.struct("term", "share")).alias("_held"))
+    looked_up = (
+        open_.select("query_id", "doc_id").join(bounded_broadcast(others.select("query_id").distinct()), "query_id", "left_semi")
+        .repartition(tasks, "doc_id").join(never_broadcast(held), "doc_id")
+        .select("query_id", "doc_id", F.inline("_held"))
+        .join(asked, ["query_id", "term"])
+        .select("query_id", "term", "doc_id", (F.col("idf") * F.col("share")).alias("part"))
     )
+    added = looked_up.groupBy("query_id", "doc_id").agg(F.sum("part").alias("part"))
     scored = (
         open_.withColumnRenamed("partial", "part")
-        .unionByName(looked_up.select("query_id", "doc_id", "part"))
+        .unionByName(added)
         .groupBy("query_id", "doc_id")
         .agg(F.round(F.sum("part"), places).alias("lexical"))
     )
     names = ["query_id", "term", "doc_id"]
-    every = reduce(DataFrame.unionByName, [x.select(*names) for x in (*read, looked_up)])
+    every = read.select(*names).unionByName(looked_up.select(*names))
     return Opened(rank_per(scored, "query_id", "doc_id", "lexical", pool), every)

@@ -119,3 +119,18 @@ def test_only_postings_of_the_wanted_terms_are_shuffled(spark, queries, tmp_path
     wanted = se.query_terms(queries)
     plan = plan_of(se.bm25_scores(se.read_index(spark, str(tmp_path), wanted), wanted))
     assert "LeftSemi" in plan.split("hashpartitioning(doc_id", 1)[1].split("/postings]")[0]
+
+
+def test_bounded_sums_are_made_where_postings_are(spark, queries, tmp_path, monkeypatch):
+    """Postings are shuffled once by document, not once for each query that asks for them."""
+    docs, plans = table(spark, texts(1, 400)), {}
+
+    def recorded(df, label):
+        plans[label] = plan_of(df)
+        return stage(df, label)
+
+    monkeypatch.setattr(bs, "stage", recorded)
+    bs.write_bounded_index(stage(se.postings(docs), "postings"), str(tmp_path), buckets=4, docs_per_block=4)
+    assert "shares" not in plans, "postings are stored once"
+    assert hits(bs.bounded_top(spark, str(tmp_path), queries, 3).hits) == hits(se.bm25(docs, queries, 3))
+    assert "hashpartitioning(doc_id" in plans["open"] and "hashpartitioning(query_id" not in plans["open"]
