@@ -1,5 +1,6 @@
 """Whole jobs on a small made-up catalogue, and what their plans must not contain."""
 
+import os
 import time
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -14,7 +15,7 @@ from savora.operators import network as nw
 from savora.operators import reviews as rv
 from savora.operators import taste as ta
 from savora.plans import jobs, skew
-from savora.session import stage
+from savora.session import scratch, shared_dir, stage
 from savora.settings import NUMERIC_FEATURES, Settings
 from savora.sources import adapters as ad
 
@@ -346,3 +347,24 @@ def test_shuffle_files_go_with_their_job(spark):
     while (left := shuffled() - before) and time.time() < end:
         time.sleep(0.2)
     assert not left
+
+
+def staged(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    return {name for name in os.listdir(folder) if os.path.isdir(f"{folder}/{name}")}
+
+
+def test_tables_of_a_step_go_with_it(spark, settings):
+    before = staged(spark)
+    with scratch(spark):
+        with scratch(spark):
+            kept = stage(stage(spark.range(3), "inner"), "outer", keep=True)
+        assert {name.rsplit("-", 1)[0] for name in staged(spark) - before} == {"outer"} and kept.count() == 3
+    assert staged(spark) == before
+    labels = spark.read.parquet(settings.gold_reviews_path)
+    _, items = catalogue(spark, labels)
+    users = spark.createDataFrame([("u1",), ("nobody",)], "user_id string")
+    found = jobs.recommend(users, labels, items, jobs.user_profiles(labels, items, settings), 5, settings, collaborative=True)
+    left = {name.rsplit("-", 1)[0] for name in staged(spark) - before}
+    assert not left & {"seeds", "warm", "query-vectors", "pair-ratings", "packed-ratings", "own-ratings", "targets", "centred"}
+    assert found.count() == 10
